@@ -1,9 +1,11 @@
 """Order-dependent work on long series without one task per series.
 
 A station may hold a third of all rows, so no window here is partitioned by station alone on the
-rows themselves. Rows are placed once by (station, time block); windows run inside a block; and what
-must cross a block border (row offsets, last known values, run heads, running sums) travels through
-a *block table* with one row per (station, block), which is joined back on the same placement.
+rows themselves. Rows get a time block; windows run inside (station, block); and what must cross a
+block border (row offsets, last known values, run heads, running sums) travels through a *block
+table* with one row per (station, block). That table is an aggregate with a map-side combine and is
+joined back on (station, block), the placement the windows already need, so the rows themselves are
+shuffled once.
 """
 
 from __future__ import annotations
@@ -34,10 +36,10 @@ def block_id(time, seconds: int) -> Column:
     return F.floor(epoch_micros(time) / F.lit(seconds * 1_000_000))
 
 
-def placed(df: DataFrame, key, time: str = "time", block: int = BLOCK) -> DataFrame:
-    """Add the block column and place rows by (key, block): the one large shuffle of an operator."""
-    df = df.withColumn(BLK, block_id(time, block))
-    return df.repartition(*names(key), BLK)
+def in_blocks(df: DataFrame, key, time: str = "time", block: int = BLOCK) -> DataFrame:
+    """Add the block column. Nothing is moved here: block tables are combined before their shuffle, and
+    the first window or join on (key, block) places the rows."""
+    return df.withColumn(BLK, block_id(time, block))
 
 
 def inside(key, *order) -> Window:
@@ -60,7 +62,7 @@ def suggest_block(df: DataFrame, key, time: str = "time", target_rows: int = 1_0
 
 
 def with_row_number(df: DataFrame, key, order, total: str | None = None, name: str = "rn") -> DataFrame:
-    """1-based position of each row of a placed frame within its whole series.
+    """1-based position of each row of a frame in blocks within its whole series.
 
     ``total`` also adds the length of the series under that name.
     """
@@ -82,7 +84,7 @@ def with_row_number(df: DataFrame, key, order, total: str | None = None, name: s
 
 
 def with_halo(df: DataFrame, key, pos: str, back: int, ahead: int = 0, rows: int = 0) -> DataFrame:
-    """Place rows by (key, row block) together with the neighbours a bounded frame needs.
+    """Cut rows into (key, row block) together with the neighbours a bounded frame needs.
 
     ``pos`` is a dense 1-based row position. A row is copied to every block one of whose rows looks
     back over ``back`` or ahead over ``ahead`` rows and meets it. Rows belonging to the block carry
@@ -96,17 +98,16 @@ def with_halo(df: DataFrame, key, pos: str, back: int, ahead: int = 0, rows: int
         df.drop(BLK)
         .withColumn(BLK, F.explode(F.sequence(low, high)))
         .withColumn("_core", F.col(BLK) == F.floor(at / rows))
-        .repartition(*names(key), BLK)
     )
 
 
 def core(df: DataFrame) -> DataFrame:
-    """Drop the halo copies; rows stay placed by (key, block)."""
+    """Drop the halo copies; rows keep their (key, block)."""
     return df.filter("_core").drop("_core")
 
 
 def with_known_neighbours(df: DataFrame, key, pos: str, value: str, prefix: str = "_") -> DataFrame:
-    """For each row of a placed frame, the nearest known value at or before it and at or after it.
+    """For each row of a frame in blocks, the nearest known value at or before it and at or after it.
 
     Adds the structs ``{prefix}prev`` and ``{prefix}next`` with fields ``pos`` and ``value``.
     """
@@ -134,7 +135,7 @@ def with_known_neighbours(df: DataFrame, key, pos: str, value: str, prefix: str
 
 
 def filled_forward(df: DataFrame, key, pos: str, cols) -> DataFrame:
-    """Replace NULLs of ``cols`` by the last known value of the series, with no limit (placed frame)."""
+    """Replace NULLs of ``cols`` by the last known value of the series, with no limit (frame in blocks)."""
     keys, cols = names(key), names(cols)
     last_known = [
         F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(pos).alias("pos"), F.col(c).alias("value")))).alias(f"_e_{c}")
@@ -185,7 +186,7 @@ def with_moments(df: DataFrame, key, value: str, parts=(), prefix: str = "") ->
 
 
 def runs(df: DataFrame, key, order, label: str, time: str = "time") -> DataFrame:
-    """Maximal runs of equal ``label`` in row order of a placed frame: label, start, end, n_rows.
+    """Maximal runs of equal ``label`` in row order of a frame in blocks: label, start, end, n_rows.
 
     Runs that do not touch a block border are final after the in-block pass; only the first and last
     run of each block enter the second pass that stitches neighbours together.
@@ -230,59 +231,72 @@ def runs(df: DataFrame, key, order, label: str, time: str = "time") -> DataFrame
 
 
 def affine_scan(
-    df: DataFrame, key, pos: str, maps: list[tuple[str, str]], radix: int = 16, rounds: int = 3, levels: int = 3
+    df: DataFrame, key, pos: str, maps: list[tuple[str, str]], rows: int = 256, fan: int = 1024, levels: int = 3
 ) -> DataFrame:
-    """Compose the maps ``y -> a*y + b`` of a series along ``pos`` (dense, 1-based).
+    """Run the recursions ``y = a*y + b`` of a series along ``pos`` (dense, 1-based), started at zero.
 
-    Afterwards each (a, b) pair holds the composition of all maps up to and including the row, so a
-    recursive filter started at zero has the value ``b``. Row blocks of ``radix ** rounds`` rows are
-    scanned by ``lag`` steps of growing stride; block totals are scanned the same way one level up.
+    Afterwards each ``b`` column holds y at the row; the ``a`` columns are dropped. Slopes must lie in
+    [1e-60, 1] and fall no faster than 1/3 per row on average, so that the running product of one
+    short stretch stays a normal number. Inside a stretch y = P * (y0 + sum(b/P)) with two window
+    sums for all recursions at once; the stretch totals are chained by ``_stretch_starts``.
     """
-    keys, size = names(key), radix**rounds
-    df = df.withColumn(BLK, F.floor((F.col(pos) - 1) / size)).repartition(*keys, BLK)
-    w = inside(keys, pos)
-    if levels == 1:
-        df = df.withColumn(
-            BLK,
-            F.when(F.col(BLK) == 0, F.col(BLK)).otherwise(
-                F.raise_error(F.lit("series too long for this scan: raise radix, rounds or levels")).cast("bigint")
-            ),
-        )
-    df = df.withColumn("_tail", F.lead(pos).over(w).isNull())
-    for r in range(rounds):
-        stride = radix**r
-        lags = {}
-        for a, b in maps:
-            for i in range(1, radix):
-                lags[f"_{a}_{i}"] = F.lag(a, i * stride, 1.0).over(w)
-                lags[f"_{b}_{i}"] = F.lag(b, i * stride, 0.0).over(w)
-        df = df.withColumns(lags)
-        composed = {}
-        for a, b in maps:
-            slope, shift = F.col(f"_{a}_{radix - 1}"), F.col(f"_{b}_{radix - 1}")
-            for i in range(radix - 2, 0, -1):
-                shift = F.col(f"_{b}_{i}") + F.col(f"_{a}_{i}") * shift
-                slope = F.col(f"_{a}_{i}") * slope
-            composed[b] = F.col(b) + F.col(a) * shift
-            composed[a] = F.col(a) * slope
-        df = df.withColumns(composed).drop(*lags)
+    keys = names(key)
+    df = df.withColumn("_sub", F.floor((F.col(pos) - 1) / rows))
+    if BLK not in df.columns:  # a caller's own blocks must be the same 16 stretches, so rows stay put
+        df = df.withColumn(BLK, F.floor(F.col("_sub") / 16))
+    w = Window.partitionBy(*keys, BLK, "_sub").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({a: F.product(a).over(w) for a, _ in maps} | {f"_raw_{a}": F.col(b) for a, b in maps})
+    df = df.withColumns({b: F.col(a) * F.sum(F.col(f"_raw_{a}") / F.col(a)).over(w) for a, b in maps})
+    df = df.drop(*[f"_raw_{a}" for a, _ in maps])
+    totals = df.groupBy(*keys, BLK, F.col("_sub").alias("_idx")).agg(
+        F.max_by(F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in maps]), pos).alias("_m")
+    )
+    starts = _stretch_starts(totals.drop(BLK), keys, len(maps), fan, levels).select(
+        *keys, F.floor(F.col("_idx") / 16).alias(BLK), F.col("_idx").alias("_sub"), "_y"
+    )
+    df = df.join(starts, [*keys, BLK, "_sub"])
+    df = df.withColumns({b: F.col(b) + F.col(a) * F.element_at("_y", i + 1) for i, (a, b) in enumerate(maps)})
+    return df.drop(BLK, "_sub", "_y", *[a for a, _ in maps])
+
+
+def _stretch_starts(totals: DataFrame, keys: list[str], n: int, fan: int, levels: int) -> DataFrame:
+    """Value of every recursion at the start of each stretch, from the stretch totals (a, b).
+
+    ``fan`` totals are folded in one short array; the folded groups are chained the same way one
+    level up, so no array ever grows with the series.
+    """
+    up = F.floor(F.col("_idx") / fan)
+    grouped = totals.groupBy(*keys, up.alias("_up")).agg(
+        F.array_sort(F.collect_list(F.struct("_idx", "_m"))).alias("_list")
+    )
+    identity = F.array_repeat(F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b")), n)
+    nothing = F.expr("cast(array() as array<struct<idx:bigint,m:array<struct<a:double,b:double>>>>)")
+
+    def step(s, e):
+        after = F.zip_with(s["now"], e["_m"], lambda old, m: F.struct(
+            (m["a"] * old["a"]).alias("a"), (m["b"] + m["a"] * old["b"]).alias("b")))
+        seen = F.concat(s["out"], F.array(F.struct(e["_idx"].alias("idx"), s["now"].alias("m"))))
+        return F.struct(after.alias("now"), seen.alias("out"))
+
+    folded = grouped.withColumn(
+        "_f", F.aggregate("_list", F.struct(identity.alias("now"), nothing.alias("out")), step)
+    ).select(*keys, "_up", "_f")
     if levels == 1:
-        return df.drop("_tail", BLK)
-    cols = [c for pair in maps for c in pair]
-    totals = df.filter("_tail").select(*keys, (F.col(BLK) + 1).alias("_at"), *cols)
-    before = affine_scan(totals, keys, "_at", maps, radix, rounds, levels - 1).select(
-        *keys, F.col("_at").alias(BLK), *[F.col(c).alias(f"_in_{c}") for c in cols]
+        too_long = F.raise_error(F.lit("series too long for this scan: raise rows, fan or levels"))
+        zero = F.array_repeat(F.lit(0.0), n)
+        folded = folded.withColumn("_in", F.when(F.col("_up") == 0, zero).otherwise(too_long.cast("array<double>")))
+    else:
+        above = folded.select(*keys, F.col("_up").alias("_idx"), F.col("_f.now").alias("_m"))
+        starts = _stretch_starts(above, keys, n, fan, levels - 1)
+        folded = folded.join(starts.select(*keys, F.col("_idx").alias("_up"), F.col("_y").alias("_in")), [*keys, "_up"])
+    return folded.select(*keys, "_in", F.explode("_f.out").alias("_o")).select(
+        *keys, F.col("_o.idx").alias("_idx"),
+        F.zip_with("_o.m", "_in", lambda m, y: m["b"] + m["a"] * y).alias("_y"),
     )
-    df = df.join(before, [*keys, BLK], "left")
-    composed = {}
-    for a, b in maps:
-        composed[b] = F.col(b) + F.col(a) * F.coalesce(f"_in_{b}", F.lit(0.0))
-        composed[a] = F.col(a) * F.coalesce(f"_in_{a}", F.lit(1.0))
-    return df.withColumns(composed).drop("_tail", BLK, *[f"_in_{c}" for c in cols])
 
 
 def with_previous(df: DataFrame, key, order: str, col: str, name: str) -> DataFrame:
-    """``col`` of the previous row of the series (placed frame), across block borders."""
+    """``col`` of the previous row of the series (frame in blocks), across block borders."""
     keys = names(key)
     ends = df.groupBy(*keys, BLK).agg(F.max_by(col, order).alias("_end"))
     carried = ends.select(*keys, BLK, F.lag("_end").over(Window.partitionBy(*keys).orderBy(BLK)).alias("_before"))

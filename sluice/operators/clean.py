@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import non_negative
-from .blocks import BLK, BLOCK, names, placed, with_moments
+from .blocks import BLK, BLOCK, names, in_blocks, with_moments
 
 OUTLIER_STD = 10.0
 
@@ -25,7 +25,7 @@ def null_outliers(df: DataFrame, key="station", value: str = "value", time: str
                   low_only: bool = False, block: int = BLOCK) -> DataFrame:
     """Blank values beyond k deviations of their own series."""
     cols = df.columns
-    rows = with_moments(placed(df, key, time, block), key, value, prefix="_s_")
+    rows = with_moments(in_blocks(df, key, time, block), key, value, prefix="_s_")
     bad = F.coalesce(F.col(value) < F.col("_s_mean") - k * F.col("_s_std"), F.lit(False)) if low_only else outlier(
         value, "_s_mean", "_s_std", k)
     return rows.withColumn(value, F.when(~bad, F.col(value))).select(*cols)
@@ -34,7 +34,7 @@ def null_outliers(df: DataFrame, key="station", value: str = "value", time: str
 def flag_implausible(df: DataFrame, key="station", value: str = "value", time: str = "time", k: float = OUTLIER_STD,
                      block: int = BLOCK) -> DataFrame:
     """Flag values above mean + k·std or below zero; the moments include the negatives."""
-    rows = with_moments(placed(df, key, time, block), key, value, prefix="_s_")
+    rows = with_moments(in_blocks(df, key, time, block), key, value, prefix="_s_")
     flag = (F.col(value) > F.col("_s_mean") + k * F.col("_s_std")) | (F.col(value) < 0)
     return rows.withColumn("implausible", F.coalesce(flag, F.lit(False))).select(*df.columns, "implausible")
 

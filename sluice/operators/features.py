@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import cyclic
 from ..functions.numeric import full_window, guarded_corr
-from .blocks import BLK, affine_scan, core, filled_forward, inside, names, placed, with_halo, with_row_number
+from .blocks import BLK, affine_scan, core, filled_forward, inside, names, in_blocks, with_halo, with_row_number
 
 LEAD = 6
 
 
 def numbered(df: DataFrame, key="station", time: str = "time", total: str | None = None, block: int = 30 * 86400) -> DataFrame:
     """Dense row position ``rn`` per series (and its length)."""
-    return with_row_number(placed(df, key, time, block), key, time, total).drop(BLK)
+    return with_row_number(in_blocks(df, key, time, block), key, time, total).drop(BLK)
 
 
 def frames(key, pos: str):
@@ -69,41 +69,48 @@ def lagged_corr(df: DataFrame, key, pos: str, a: str, b: str, lags) -> DataFrame
     return wide.select(*names(key), F.explode(pairs).alias("_x")).select(*names(key), "_x.lag", "_x.r")
 
 
-def ewma(df: DataFrame, key, pos: str, specs: dict[str, tuple[str, int]], time_block: int = 4096,
-         radix: int = 16, rounds: int = 3) -> DataFrame:
+def ewma(df: DataFrame, key, pos: str, specs: dict[str, tuple[str, int]], rows: int = 256, fan: int = 1024) -> DataFrame:
     """Exponentially weighted means: ``specs`` maps an output name to (column, span).
 
-    The first known value starts the mean; g NULLs in between age its weight by (1-a)^(g+1). Each
-    row is an affine map of the previous mean and the maps are composed by a block scan. The number
-    of NULLs since the last known value is the row distance to that value, found with the same carry
-    the fills use.
+    The first known value starts the mean; g NULLs in between age its weight by (1-a)^(g+1), with
+    a = 2/(span+1). Each row maps the previous mean linearly to the next, which ``affine_scan`` runs
+    for all outputs at once. g is the row distance to the last known value, found per block with a
+    carry. Span 1 has no memory and is a forward fill.
     """
     keys = names(key)
     columns = sorted({c for c, _ in specs.values()})
-    rows = df.withColumn(BLK, F.floor((F.col(pos) - 1) / time_block)).repartition(*keys, BLK)
+    df = df.withColumns({name: F.col(c) for name, (c, span) in specs.items() if span == 1})
+    rows_in = df.withColumn(BLK, F.floor((F.col(pos) - 1) / (16 * rows)))
     w = inside(keys, pos)
     up = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     at = {c: F.when(F.col(c).isNotNull(), F.col(pos)) for c in columns}
-    carried = rows.groupBy(*keys, BLK).agg(*[F.max(at[c]).alias(f"_k_{c}") for c in columns]).select(
+    carried = rows_in.groupBy(*keys, BLK).agg(*[F.max(at[c]).alias(f"_k_{c}") for c in columns]).select(
         *keys, BLK, *[F.max(f"_k_{c}").over(up).alias(f"_k_{c}") for c in columns]
     )
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumns({f"_p_{c}": F.max(at[c]).over(before) for c in columns}).join(carried, [*keys, BLK])
-    rows = rows.withColumns({f"_p_{c}": F.coalesce(f"_p_{c}", f"_k_{c}") for c in columns}).drop(*[f"_k_{c}" for c in columns])
+    out = rows_in.withColumns({f"_p_{c}": F.max(at[c]).over(before) for c in columns}).join(carried, [*keys, BLK])
+    out = out.withColumns({f"_p_{c}": F.coalesce(f"_p_{c}", f"_k_{c}") for c in columns}).drop(*[f"_k_{c}" for c in columns])
+    repeats = [name for name, (_, span) in specs.items() if span == 1]
+    if repeats:
+        out = filled_forward(out, keys, pos, repeats)
     maps, made = [], {}
     for i, (name, (c, span)) in enumerate(specs.items()):
+        if span == 1:
+            continue
         alpha = 2.0 / (span + 1.0)
-        x, prev = F.col(c), F.col(f"_p_{c}")
+        x, prev = F.col(c).cast("double"), F.col(f"_p_{c}")
         old = F.pow(F.lit(1.0 - alpha), (F.col(pos) - prev).cast("double"))
-        made[f"_a{i}"] = F.when(x.isNull(), F.lit(1.0)).when(prev.isNull(), F.lit(0.0)).otherwise(old / (old + alpha))
+        # the first known value is added to zero; a vanished weight is kept at 1e-60, far below rounding
+        made[f"_a{i}"] = F.when(x.isNull() | prev.isNull(), F.lit(1.0)).otherwise(F.greatest(old / (old + alpha), F.lit(1e-60)))
         made[f"_b{i}"] = F.when(x.isNull(), F.lit(0.0)).when(prev.isNull(), x).otherwise(F.lit(alpha) * x / (old + alpha))
         maps.append((f"_a{i}", f"_b{i}"))
-    scanned = affine_scan(rows.withColumns(made).drop(BLK), keys, pos, maps, radix, rounds)
-    out = {
+    if maps:
+        out = affine_scan(out.withColumns(made), keys, pos, maps, rows, fan)
+    smooth = {
         name: F.when(F.col(c).isNotNull() | F.col(f"_p_{c}").isNotNull(), F.col(f"_b{i}"))
-        for i, (name, (c, _)) in enumerate(specs.items())
+        for i, (name, (c, span)) in enumerate(specs.items()) if span != 1
     }
-    return scanned.withColumns(out).select(*df.columns, *specs)
+    return (out.withColumns(smooth) if smooth else out).select(*[c for c in df.columns if c not in specs], *specs)
 
 
 def is_rain(column: str) -> bool:
@@ -115,7 +122,7 @@ def create_features(df: DataFrame, target: str, weather=(), key="station", time:
                     lags=None) -> DataFrame:
     """The full feature table of all series in one plan.
 
-    Row windows share one placement and one sort; the smoothed columns come from the block scan
+    Row windows share one shuffle and one sort; the smoothed columns come from the block scan
     before it. Rows without a target are dropped, remaining NULLs are filled forward over all
     columns, and rows still incomplete are dropped. ``lags`` replaces 1..max_lag where given.
     """

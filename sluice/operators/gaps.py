@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import days_between, midnight
 from ..functions.numeric import percent
-from .blocks import BLOCK, HOUR, names, placed, runs
+from .blocks import BLOCK, HOUR, names, in_blocks, runs
 from .grid import QUARTER_HOUR, on_grid
 
 
@@ -106,7 +106,7 @@ def missing_blocks(df: DataFrame, key="station", value: str = "value", time: str
     """Stretches of missing slots on the anchored grid; a single missing slot lasts 0 days."""
     grid = on_grid(df, key, step, value, True, time).select(*names(key), time, F.col(value).isNull().alias("_gap"))
     return (
-        runs(placed(grid, key, time, block), key, time, "_gap", time)
+        runs(in_blocks(grid, key, time, block), key, time, "_gap", time)
         .filter("_gap").drop("_gap")
         .withColumn("duration_days", days_between("start", "end"))
     )

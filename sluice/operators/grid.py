@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import DAY, HOUR, epoch_micros, from_micros, names, placed, with_known_neighbours
+from .blocks import DAY, HOUR, epoch_micros, from_micros, names, in_blocks, with_known_neighbours
 
 QUARTER_HOUR = 900
 #: More slots than this in one series is taken for a wrong timestamp.
@@ -127,7 +127,7 @@ def nearest_on_grid(df: DataFrame, key, step: int = HOUR, value: str = "value",
         .groupBy(*keys, time).agg(F.max(value).alias(value), F.max("_slot").alias("_slot"))
         .withColumn("_us", epoch_micros(time))
     )
-    near = with_known_neighbours(placed(merged, keys, time, block), keys, "_us", value).filter("_slot")
+    near = with_known_neighbours(in_blocks(merged, keys, time, block), keys, "_us", value).filter("_slot")
     left, right = F.col("_us") - F.col("_prev.pos"), F.col("_next.pos") - F.col("_us")
     later = F.col("_prev").isNull() | (F.col("_next").isNotNull() & (right <= left))
     return near.select(*keys, time, F.when(later, F.col("_next.value")).otherwise(F.col("_prev.value")).alias(value))

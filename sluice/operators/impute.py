@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import year_slot
-from .blocks import BLOCK, names, placed, with_known_neighbours, with_moments
+from .blocks import BLOCK, names, in_blocks, with_known_neighbours, with_moments
 from .clean import null_negatives, null_outliers, outlier
 from .grid import QUARTER_HOUR, on_grid
 
@@ -28,7 +28,7 @@ def seasonal_fill(df: DataFrame, key="station", value: str = "value", time: str
     """
     cols = df.columns
     parts = season(time)
-    rows = with_moments(placed(df.withColumns(parts), key, time, block), key, value, list(parts), prefix="_s_")
+    rows = with_moments(in_blocks(df.withColumns(parts), key, time, block), key, value, list(parts), prefix="_s_")
     fill = F.col("_s_mean")
     if noise:
         fill = fill + F.randn(seed) * F.lit(noise) * F.col("_s_mean")
@@ -36,7 +36,7 @@ def seasonal_fill(df: DataFrame, key="station", value: str = "value", time: str
 
 
 def _neighbours(df, key, value, time, pos, block):
-    return with_known_neighbours(placed(df, key, time, block), key, pos, value)
+    return with_known_neighbours(in_blocks(df, key, time, block), key, pos, value)
 
 
 def _straight_line(pos: str) -> Column:
@@ -67,7 +67,7 @@ def guarded_linear_fill(df: DataFrame, key="station", value: str = "value", time
                         block: int = BLOCK) -> DataFrame:
     """Straight line only across gaps up to the bound whose two neighbours are within mean ± z·std."""
     cols = df.columns
-    rows = with_known_neighbours(with_moments(placed(df, key, time, block), key, value, prefix="_s_"), key, pos, value)
+    rows = with_known_neighbours(with_moments(in_blocks(df, key, time, block), key, value, prefix="_s_"), key, pos, value)
     low, high = F.col("_s_mean") - z * F.col("_s_std"), F.col("_s_mean") + z * F.col("_s_std")
     ok = (
         ((F.col("_next.pos") - F.col("_prev.pos")) * step <= max_gap_seconds)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import days_between
 from ..functions.numeric import percent
 from ..schemas import QUALITY_LABELS
-from .blocks import BLOCK, names, placed, runs
+from .blocks import BLOCK, names, in_blocks, runs
 
 
 def label_distribution(df: DataFrame, key="station", label: str = "quality") -> DataFrame:
@@ -35,7 +35,7 @@ def label_calendar(df: DataFrame, part, name: str, key="station", label: str = "
 def label_runs(df: DataFrame, key="station", label: str = "quality", time: str = "time", tie=(), block: int = BLOCK) -> DataFrame:
     """Runs of one label in time order; a NULL label ends a run and forms none."""
     order = [time, *names(tie)]
-    return runs(placed(df, key, time, block), key, order, label, time).filter(F.col(label).isNotNull())
+    return runs(in_blocks(df, key, time, block), key, order, label, time).filter(F.col(label).isNotNull())
 
 
 def streak_summary(run_table: DataFrame, key="station", label: str = "quality", minutes: int = 15) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import guarded_corr, sample_skew, z_score
-from .blocks import BLOCK, attach, names, placed, with_moments, with_previous
+from .blocks import BLOCK, attach, names, in_blocks, with_moments, with_previous
 from .quantiles import exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -67,7 +67,7 @@ def box_stats(df: DataFrame, keys, value: str = "value") -> DataFrame:
 
 def monthly_anomaly(df: DataFrame, key="station", value: str = "value", time: str = "time", block: int = BLOCK) -> DataFrame:
     """Value minus the mean of its calendar month over all years."""
-    rows = with_moments(placed(df.withColumn("month", F.month(time)), key, time, block), key, value, ["month"], "_s_")
+    rows = with_moments(in_blocks(df.withColumn("month", F.month(time)), key, time, block), key, value, ["month"], "_s_")
     return rows.select(*df.columns, "month", (F.col(value) - F.col("_s_mean")).alias("anomaly"))
 
 
@@ -94,7 +94,7 @@ def histogram(df: DataFrame, bins: int, key="station", value: str = "value", by=
 def granularity(df: DataFrame, key="station", value: str = "value", time: str = "time", block: int = BLOCK) -> DataFrame:
     """Rows, median gap to the previous row in seconds, mean, min, max."""
     keys = names(key)
-    rows = with_previous(placed(df.select(*keys, time, value), keys, time, block), keys, time, time, "_prev")
+    rows = with_previous(in_blocks(df.select(*keys, time, value), keys, time, block), keys, time, time, "_prev")
     gaps = rows.withColumn(
         "_gap", (F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.col("_prev").cast("timestamp"))) / 1_000_000
     )
@@ -108,7 +108,7 @@ def flag_outliers(df: DataFrame, key="station", value: str = "value", time: str
                   z: float = 3.0, block: int = BLOCK) -> DataFrame:
     """Rows with |z| above the bound, or outside the 1.5 IQR fences."""
     if method == "zscore":
-        rows = with_moments(placed(df, key, time, block), key, value, prefix="_s_")
+        rows = with_moments(in_blocks(df, key, time, block), key, value, prefix="_s_")
         return rows.filter(F.abs(z_score(value, "_s_mean", "_s_std")) > z).select(*df.columns)
     rows = attach(df, exact_quantiles(df, key, value, {"_q1": 0.25, "_q3": 0.75}), key, time)
     fence = F.lit(1.5) * (F.col("_q3") - F.col("_q1"))

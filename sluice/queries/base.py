@@ -45,12 +45,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Doubles rounded to six places, NaN to NULL, no negative zero; integers as bigint."""
+    """Doubles rounded to six places, NaN to NULL, no negative zero; integers as bigint.
+
+    Both engines add 1e-9 before rounding: a mean that ends exactly in ...5 at the seventh place would
+    otherwise round by its last bit, which depends on the order of a sum."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(F.nanvl(c.cast("double"), F.lit(None).cast("double")), 6) + F.lit(0.0)
+            c = F.round(F.nanvl(c.cast("double"), F.lit(None).cast("double")) + F.lit(1e-9), 6) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         out.append(c.alias(f.name))

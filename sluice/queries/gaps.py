@@ -15,7 +15,7 @@ from .base import (
 
 
 def pct(a: str, b: str) -> str:
-    return f"round({a} * 100.0::DOUBLE / {b}, 6)"
+    return f"round({a} * 100.0::DOUBLE / {b} + 1e-9, 6)"
 
 
 @query("a19_missing_quarter_hours", f"""
@@ -101,7 +101,7 @@ def _weather_text(spark, sf):
 
 @query("a27_weather_cleaned_rows", f"""
 WITH {GAUGE}, raw AS (SELECT station, time_bucket(INTERVAL '1 hour', time) AS time, value, event_id FROM gauge WHERE event_id % 50 <> 7)
-SELECT station, time, min(event_id) AS event_id, round(arg_min(value, event_id), 6) AS value FROM raw GROUP BY 1, 2""")
+SELECT station, time, min(event_id) AS event_id, round(arg_min(value, event_id) + 1e-9, 6) AS value FROM raw GROUP BY 1, 2""")
 def a27_weather_cleaned_rows(spark, sf):
     """The cleaned rows."""
     return tidy(weather_clean(_weather_text(spark, sf), station="station", time="date", tie="event_id")[0])
@@ -111,7 +111,7 @@ W12_SQL = f"""
 WITH {QUARTER}, {anchored_grid('quarter', 'grid')},
 m AS (SELECT station, time, value IS NULL AS gap, slot - row_number() OVER (PARTITION BY station, value IS NULL ORDER BY slot) AS g FROM grid),
 b AS (SELECT station, min(time) AS "start", max(time) AS "end", count(*) AS n_rows FROM m WHERE gap GROUP BY station, g)
-SELECT station, "start", "end", n_rows, round(epoch("end" - "start") / 86400.0::DOUBLE, 6) AS duration_days FROM b"""
+SELECT station, "start", "end", n_rows, round(epoch("end" - "start") / 86400.0::DOUBLE + 1e-9, 6) AS duration_days FROM b"""
 
 
 @query("w12_missing_blocks", W12_SQL)
@@ -149,7 +149,7 @@ def a06_missing_by_month(spark, sf):
 
 @query("a07_monthly_missingness", """
 WITH c AS (SELECT l_suppkey AS station, month(l_shipdate) AS month, avg(CASE WHEN l_quantity < 10 THEN 1.0 ELSE 0.0 END) AS share FROM lineitem GROUP BY 1, 2)
-SELECT month, round(avg(share) * 100, 6) AS pct_missing, count(*) AS n_series FROM c GROUP BY 1""")
+SELECT month, round(avg(share) * 100 + 1e-9, 6) AS pct_missing, count(*) AS n_series FROM c GROUP BY 1""")
 def a07_monthly_missingness(spark, sf):
     """A07 over suppliers as stations; small quantities count as missing."""
     rows = table(spark, sf, "lineitem").select(
@@ -221,7 +221,7 @@ def w10_quality_runs(spark, sf):
 
 
 @query("w10_quality_streaks", f"""WITH {RUNS} SELECT station, quality, (max(n_rows) * 15)::BIGINT AS longest_streak_minutes,
- round(avg(n_rows) * 15, 6) AS avg_streak_minutes FROM runs GROUP BY 1, 2""")
+ round(avg(n_rows) * 15 + 1e-9, 6) AS avg_streak_minutes FROM runs GROUP BY 1, 2""")
 def w10_quality_streaks(spark, sf):
     return tidy(quality.streak_summary(_runs(spark, sf)))
 
@@ -232,7 +232,7 @@ def w10_streak_distribution(spark, sf):
 
 
 @query("w11_training_periods", f"""WITH {RUNS} SELECT station, "start" AS start_date, "end" AS end_date,
- round(epoch_us("end") / 86400000000.0::DOUBLE - epoch_us("start") / 86400000000.0::DOUBLE, 6) AS length_days, n_rows AS n_records
+ round(epoch_us("end") / 86400000000.0::DOUBLE - epoch_us("start") / 86400000000.0::DOUBLE + 1e-9, 6) AS length_days, n_rows AS n_records
 FROM runs WHERE quality = 'Good' AND "end" - "start" >= INTERVAL '6 hours'""")
 def w11_training_periods(spark, sf):
     """W11 with a quarter-day minimum, which the stand-in labels reach."""
@@ -242,8 +242,8 @@ def w11_training_periods(spark, sf):
 @query("c07_overall_quality", f"""
 WITH {QUALIFIED}, c AS (SELECT station, quality, count(*) AS n FROM qualified WHERE quality IS NOT NULL GROUP BY 1, 2),
 t AS (SELECT *, n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY station) AS pct FROM c)
-SELECT quality, sum(n)::BIGINT AS n, count(*) AS n_series, round(min(pct), 6) AS min_pct, round(avg(pct), 6) AS mean_pct, round(max(pct), 6) AS max_pct,
- round(sum(n) * 100.0::DOUBLE / sum(sum(n)) OVER (), 6) AS pct FROM t GROUP BY 1""")
+SELECT quality, sum(n)::BIGINT AS n, count(*) AS n_series, round(min(pct) + 1e-9, 6) AS min_pct, round(avg(pct) + 1e-9, 6) AS mean_pct, round(max(pct) + 1e-9, 6) AS max_pct,
+ round(sum(n) * 100.0::DOUBLE / sum(sum(n)) OVER () + 1e-9, 6) AS pct FROM t GROUP BY 1""")
 def c07_overall_quality(spark, sf):
     """Label shares over all gauges and their spread."""
     return tidy(quality.overall_quality(qualified(spark, sf)))
@@ -259,12 +259,12 @@ def d01_distinct_rows(spark, sf):
 
 
 @query("d02_keep_first", f"""WITH {GAUGE}, {HALF_DAY}
-SELECT station, time, min(event_id) AS event_id, round(arg_min(value, event_id), 6) AS value FROM halfday GROUP BY 1, 2""")
+SELECT station, time, min(event_id) AS event_id, round(arg_min(value, event_id) + 1e-9, 6) AS value FROM halfday GROUP BY 1, 2""")
 def d02_keep_first(spark, sf):
     return tidy(clean.keep_first(half_day(spark, sf), ["station", "time"], "event_id"))
 
 
-DUP = """SELECT station, time, event_id, round(value, 6) AS value FROM
+DUP = """SELECT station, time, event_id, round(value + 1e-9, 6) AS value FROM
  (SELECT *, count(*) OVER (PARTITION BY station, time) AS n, row_number() OVER (PARTITION BY station, time ORDER BY event_id) AS rn FROM halfday)"""
 
 
@@ -306,13 +306,13 @@ def p07_attribute_filter(spark, sf):
     return table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
 
 
-@query("p08_day_slice", f"WITH {GAUGE} SELECT station, time, round(value, 6) AS value FROM gauge WHERE time::DATE = DATE '2024-01-15'")
+@query("p08_day_slice", f"WITH {GAUGE} SELECT station, time, round(value + 1e-9, 6) AS value FROM gauge WHERE time::DATE = DATE '2024-01-15'")
 def p08_day_slice(spark, sf):
     """One whole day, as a time range that reaches the scan."""
     return tidy(gauge(spark, sf).filter("time >= timestamp_ntz'2024-01-15' AND time < timestamp_ntz'2024-01-16'").drop("event_id"))
 
 
-@query("p08_cross_section", f"WITH {HOURLY} SELECT station, round(value, 6) AS value FROM hourly WHERE time = TIMESTAMP '2024-01-15'")
+@query("p08_cross_section", f"WITH {HOURLY} SELECT station, round(value + 1e-9, 6) AS value FROM hourly WHERE time = TIMESTAMP '2024-01-15'")
 def p08_cross_section(spark, sf):
     """All stations at exactly midnight of a day."""
     return tidy(hourly(spark, sf).filter(F.col("time") == F.expr("timestamp_ntz'2024-01-15'")).drop("time"))
@@ -355,7 +355,7 @@ DIRTY = """dirty AS (SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'n/a' ELSE
  CASE WHEN event_id % 11 = 0 THEN 'yesterday' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS stamp FROM events)"""
 
 
-@query("p12_coerce", f"WITH {DIRTY} SELECT event_id, round(TRY_CAST(raw AS DOUBLE), 6) AS value, TRY_CAST(stamp AS TIMESTAMP) AS time FROM dirty")
+@query("p12_coerce", f"WITH {DIRTY} SELECT event_id, round(TRY_CAST(raw AS DOUBLE) + 1e-9, 6) AS value, TRY_CAST(stamp AS TIMESTAMP) AS time FROM dirty")
 def p12_coerce(spark, sf):
     """Unreadable numbers and times become NULL."""
     from ..functions.numeric import number_or_null
@@ -380,7 +380,7 @@ def p14_missing_indicator(spark, sf):
 
 
 @query("p16_point_override", f"""WITH {GAUGE}, fix AS (SELECT event_type AS station, min(ts) AS time FROM events GROUP BY event_type, ts::DATE)
-SELECT g.station, g.event_id, round(CASE WHEN f.time IS NULL THEN g.value END, 6) AS value FROM gauge g LEFT JOIN fix f ON f.station = g.station AND f.time = g.time""")
+SELECT g.station, g.event_id, round(CASE WHEN f.time IS NULL THEN g.value END + 1e-9, 6) AS value FROM gauge g LEFT JOIN fix f ON f.station = g.station AND f.time = g.time""")
 def p16_point_override(spark, sf):
     """A corrections table (here the first reading of each day) blanks readings."""
     rows = gauge(spark, sf)
@@ -388,7 +388,7 @@ def p16_point_override(spark, sf):
     return tidy(clean.override_points(rows, fixes).select("station", "event_id", "value"))
 
 
-@query("p17_row_at_position", f"WITH {GAUGE} SELECT station, time, event_id, round(value, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY time) AS rn FROM gauge) WHERE rn = 744")
+@query("p17_row_at_position", f"WITH {GAUGE} SELECT station, time, event_id, round(value + 1e-9, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY time) AS rn FROM gauge) WHERE rn = 744")
 def p17_row_at_position(spark, sf):
     return tidy(reshape.row_at(gauge(spark, sf), 743))
 
@@ -398,7 +398,7 @@ def p18_type_change(spark, sf):
     return table(spark, sf, "events").select(F.col("event_id").cast("string").alias("id_text"), F.col("value").cast("bigint").alias("whole"))
 
 
-@query("l01_sort_by_time", f"WITH {HOURLY} SELECT station, time, round(value, 6) AS value FROM hourly ORDER BY station, time")
+@query("l01_sort_by_time", f"WITH {HOURLY} SELECT station, time, round(value + 1e-9, 6) AS value FROM hourly ORDER BY station, time")
 def l01_sort_by_time(spark, sf):
     """Range-partitioned sort at the sink."""
     return tidy(hourly(spark, sf)).orderBy("station", "time")
@@ -424,8 +424,8 @@ def u01_union_by_name(spark, sf):
     return tidy(reshape.union_all(a, b))
 
 
-@query("u02_months_side_by_side", """SELECT month(l_shipdate) AS month, round(avg(l_quantity) FILTER (WHERE l_returnflag = 'A'), 6) AS "A",
- round(avg(l_quantity) FILTER (WHERE l_returnflag = 'N'), 6) AS "N", round(avg(l_quantity) FILTER (WHERE l_returnflag = 'R'), 6) AS "R" FROM lineitem GROUP BY 1""")
+@query("u02_months_side_by_side", """SELECT month(l_shipdate) AS month, round(avg(l_quantity) FILTER (WHERE l_returnflag = 'A') + 1e-9, 6) AS "A",
+ round(avg(l_quantity) FILTER (WHERE l_returnflag = 'N') + 1e-9, 6) AS "N", round(avg(l_quantity) FILTER (WHERE l_returnflag = 'R') + 1e-9, 6) AS "R" FROM lineitem GROUP BY 1""")
 def u02_months_side_by_side(spark, sf):
     """One column per series aligned on the month."""
     rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("station"), F.col("l_shipdate").alias("time"), F.col("l_quantity").alias("value"))
@@ -444,8 +444,8 @@ def u04_missing_ids(spark, sf):
 
 
 @query("r01_long_to_wide", """WITH c AS (SELECT l_shipdate AS time, l_returnflag AS datatype, avg(l_quantity) AS value FROM lineitem GROUP BY 1, 2)
-SELECT time, round(max(value) FILTER (WHERE datatype = 'A'), 6) AS "A", round(max(value) FILTER (WHERE datatype = 'N'), 6) AS "N",
- round(max(value) FILTER (WHERE datatype = 'R'), 6) AS "R" FROM c GROUP BY 1""")
+SELECT time, round(max(value) FILTER (WHERE datatype = 'A') + 1e-9, 6) AS "A", round(max(value) FILTER (WHERE datatype = 'N') + 1e-9, 6) AS "N",
+ round(max(value) FILTER (WHERE datatype = 'R') + 1e-9, 6) AS "R" FROM c GROUP BY 1""")
 def r01_long_to_wide(spark, sf):
     rows = table(spark, sf, "lineitem").groupBy(F.col("l_shipdate").alias("time"), F.col("l_returnflag").alias("datatype")).agg(F.avg("l_quantity").alias("value"))
     return tidy(reshape.widen(rows, "time", "datatype", "value", ["A", "N", "R"]))

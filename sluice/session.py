@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "sluic
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call-site capture on every column expression dominates the time to build wide plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in RUNTIME_CONF.items():
         builder = builder.config(name, value)
