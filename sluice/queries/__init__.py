@@ -1,6 +1,6 @@
 """Importing the package registers every query."""
 
-from . import cleaning, featured, gaps  # noqa: F401
+from . import cleaning, featured, gaps, joined, sourced, summary  # noqa: F401
 from .base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

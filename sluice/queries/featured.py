@@ -136,7 +136,7 @@ def w08_rolling_corr_24(spark, sf):
 
 @query("w08_rolling_corr_6", _rolling_corr(6))
 def w08_rolling_corr_6(spark, sf):
-    return tidy(features.rolling_corr(numbered(spark, sf), "station", "rn", "level", "rain" + 1e-9, 6).select("station", "rn", "rolling_corr"))
+    return tidy(features.rolling_corr(numbered(spark, sf), "station", "rn", "level", "rain", 6).select("station", "rn", "rolling_corr"))
 
 
 def lag_corr_sql(a: str, b: str, lags) -> str:
