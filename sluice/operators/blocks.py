@@ -231,7 +231,7 @@ def runs(df: DataFrame, key, order, label: str, time: str = "time") -> DataFrame
 
 
 def affine_scan(
-    df: DataFrame, key, pos: str, maps: list[tuple[str, str]], rows: int = 256, fan: int = 1024, levels: int = 3
+    df: DataFrame, key, pos: str, maps: list[tuple[str, str]], rows: int = 256, fan: int = 2048, levels: int = 3
 ) -> DataFrame:
     """Run the recursions ``y = a*y + b`` of a series along ``pos`` (dense, 1-based), started at zero.
 

@@ -69,7 +69,7 @@ def lagged_corr(df: DataFrame, key, pos: str, a: str, b: str, lags) -> DataFrame
     return wide.select(*names(key), F.explode(pairs).alias("_x")).select(*names(key), "_x.lag", "_x.r")
 
 
-def ewma(df: DataFrame, key, pos: str, specs: dict[str, tuple[str, int]], rows: int = 256, fan: int = 1024) -> DataFrame:
+def ewma(df: DataFrame, key, pos: str, specs: dict[str, tuple[str, int]], rows: int = 256, fan: int = 2048) -> DataFrame:
     """Exponentially weighted means: ``specs`` maps an output name to (column, span).
 
     The first known value starts the mean; g NULLs in between age its weight by (1-a)^(g+1), with

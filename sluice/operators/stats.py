@@ -184,6 +184,18 @@ def pacf_from_acf(acf: list[float]) -> list[float]:
     return out
 
 
+def partial_autocorrelation(curve: DataFrame, key: str = "station") -> DataFrame:
+    """(key, lag, pacf) from an autocorrelation curve (key, lag, r) with lags 1..k; one short group per series."""
+    import pandas as pd
+
+    def one(group, rows):
+        rows = rows.sort_values("lag")
+        return pd.DataFrame({key: group[0], "lag": rows["lag"].to_numpy(), "pacf": pacf_from_acf(rows["r"].tolist())})
+
+    schema = f"{key} {curve.schema[key].dataType.simpleString()}, lag bigint, pacf double"
+    return curve.groupBy(key).applyInPandas(one, schema)
+
+
 def value_counts(df: DataFrame, *cols) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 

@@ -451,6 +451,24 @@ def r01_long_to_wide(spark, sf):
     return tidy(reshape.widen(rows, "time", "datatype", "value", ["A", "N", "R"]))
 
 
+@query("r02_pivot_of_means", """SELECT hour(ts) AS hour, round(avg(value) FILTER (WHERE event_type = 'click') + 1e-9, 6) AS click,
+ round(avg(value) FILTER (WHERE event_type = 'view') + 1e-9, 6) AS view FROM events GROUP BY 1""")
+def r02_pivot_of_means(spark, sf):
+    """Means by hour and station, one column per station."""
+    rows = table(spark, sf, "events").groupBy(F.hour("ts").alias("hour")).pivot("event_type", ["click", "view"]).agg(F.avg("value"))
+    return tidy(rows)
+
+
+@query("r03_station_report", f"""WITH {QUARTER}, {anchored_grid('quarter', 'grid')}, m AS (SELECT station, count(*) - count(value) AS n_missing FROM grid GROUP BY 1),
+c AS (SELECT station, count(*) AS n_rows, count(*) FILTER (WHERE value < 0) AS n_negative FROM quarter GROUP BY 1)
+SELECT station, n_rows, n_negative, n_missing FROM m JOIN c USING (station)""")
+def r03_station_report(spark, sf):
+    """One report row per station from several accounts."""
+    rows = quarter(spark, sf)
+    counts = rows.groupBy("station").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("value") < 0).alias("n_negative"))
+    return tidy(counts.join(gaps.missing_slots(rows).select("station", "n_missing"), "station"))
+
+
 @query("a23_frequency", "SELECT year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC")
 def a23_frequency(spark, sf):
     rows = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"))

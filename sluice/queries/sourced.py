@@ -246,6 +246,13 @@ def s16_climate_rows(spark, sf):
     return tidy(payloads.climate_rows(parsed).withColumn("date", F.col("date").cast("timestamp_ntz")))
 
 
+@query("s17_multi_station_concat", """SELECT station, date_trunc('day', time) AS time, round(avg(rain) + 1e-9, 6) AS rain FROM (SELECT event_type AS station, time_bucket(INTERVAL '1 hour', ts) AS time, count(*)::DOUBLE AS rain FROM events GROUP BY 1, 2) GROUP BY 1, 2""")
+def s17_multi_station_concat(spark, sf):
+    """Hourly files of every station stacked with their id and brought to days."""
+    rows = gauges.read_weather(spark, landed_weather(spark, sf), WEATHER).withColumn("station", F.split_part("station", F.lit("="), F.lit(-1)))
+    return tidy(rows.groupBy("station", bucket("time", 86400).alias("time")).agg(F.avg("rain").alias("rain")))
+
+
 @query("s18_resumable_load", """SELECT DISTINCT user_id AS station FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'click' AND value > 120)""")
 def s18_resumable_load(spark, sf):
     """Stations whose file has not landed yet."""
