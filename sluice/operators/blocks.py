@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 HOUR = 3600
 DAY = 86400
-#: 30 days: 2,880 rows of a 15-minute series. Pass a shorter block for faster sensors.
-BLOCK = 30 * DAY
+#: A week: 672 rows of a 15-minute series, 600 thousand of a 1 Hz one. Pass a shorter block for faster
+#: sensors; ``suggest_block`` measures one.
+BLOCK = 7 * DAY
 BLK = "_blk"
 
 
@@ -48,12 +49,12 @@ def inside(key, *order) -> Window:
 
 
 def suggest_block(df: DataFrame, key, time: str = "time", target_rows: int = 1_000_000) -> int:
-    """Longest block, by halving from 30 days to one minute, whose fullest cell stays below the target.
+    """Longest block, by halving from a week to one minute, whose fullest cell stays below the target.
 
     One aggregation per candidate length; each is a map-side combined count.
     """
     seconds = BLOCK
-    while seconds > 60:
+    while seconds > 60:  # at most 14 rounds
         cells = df.groupBy(*names(key), block_id(time, seconds).alias(BLK)).count()
         if (cells.agg(F.max("count")).first()[0] or 0) <= target_rows:
             return seconds
@@ -135,22 +136,18 @@ def with_known_neighbours(df: DataFrame, key, pos: str, value: str, prefix: str
 
 
 def filled_forward(df: DataFrame, key, pos: str, cols) -> DataFrame:
-    """Replace NULLs of ``cols`` by the last known value of the series, with no limit (frame in blocks)."""
+    """Replace NULLs of ``cols`` by the last known value of the series, with no limit (frame in blocks).
+
+    Filled inside the block first; the last row of a block then holds what the next blocks inherit.
+    """
     keys, cols = names(key), names(cols)
-    last_known = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(pos).alias("pos"), F.col(c).alias("value")))).alias(f"_e_{c}")
-        for c in cols
-    ]
-    up = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = df.groupBy(*keys, BLK).agg(*last_known).select(
-        *keys, BLK, *[F.last(f"_e_{c}", ignorenulls=True).over(up).getField("value").alias(f"_c_{c}") for c in cols]
-    )
     left = inside(keys, F.asc(pos)).rowsBetween(Window.unboundedPreceding, 0)
     filled = df.withColumns({c: F.last(c, ignorenulls=True).over(left) for c in cols})
-    return (
-        filled.join(carried, [*keys, BLK])
-        .withColumns({c: F.coalesce(c, f"_c_{c}") for c in cols})
-        .drop(*[f"_c_{c}" for c in cols])
+    up = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    ends = filled.groupBy(*keys, BLK).agg(F.max_by(F.struct(*cols), pos).alias("_end"))
+    carried = ends.select(*keys, BLK, *[F.last(f"_end.{c}", ignorenulls=True).over(up).alias(f"_c_{c}") for c in cols])
+    return filled.join(carried, [*keys, BLK]).select(
+        *[F.coalesce(c, f"_c_{c}").alias(c) if c in cols else c for c in df.columns]
     )
 
 
@@ -310,7 +307,7 @@ def with_previous(df: DataFrame, key, order: str, col: str, name: str) -> DataFr
     )
 
 
-def attach(df: DataFrame, stats: DataFrame, key, by, salts: int = 16) -> DataFrame:
+def attach(df: DataFrame, stats: DataFrame, key, by, salts: int = 64) -> DataFrame:
     """Join one-row-per-key statistics to rows on (key, salt) so that a hot key meets in many tasks.
 
     Only the small side is repeated. No broadcast is forced; the planner picks one where the measured

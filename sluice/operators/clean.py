@@ -73,11 +73,11 @@ def keep_first(df: DataFrame, key, tie) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.min_by(F.col(c), order).alias(c) for c in rest]).select(*df.columns)
 
 
-def with_copies(df: DataFrame, key, tie: str, salts: int = 32) -> DataFrame:
+def with_copies(df: DataFrame, key, tie: str, salts: int = 1024) -> DataFrame:
     """Attach ``copies`` (rows sharing the key) and ``first_tie`` (smallest tie among them).
 
-    Counted per (key, salt) and joined back on the same pair, so copies of one key never meet in
-    one task.
+    Counted per (key, salt) and joined back on the same pair, so copies of one key never meet in one
+    task. Only pairs that occur have a row, so the salt costs nothing where copies are few.
     """
     keys = names(key)
     rows = df.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(salts)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +33,16 @@ def seasonal_fill(df: DataFrame, key="station", value: str = "value", time: str
     rows = with_moments(in_blocks(df.withColumns(parts), key, time, block), key, value, list(parts), prefix="_s_")
     fill = F.col("_s_mean")
     if noise:
-        fill = fill + F.randn(seed) * F.lit(noise) * F.col("_s_mean")
+        fill = fill + _normal(seed, *names(key), time) * F.lit(noise) * F.col("_s_mean")
     return rows.withColumn(value, F.coalesce(F.col(value), fill)).select(*cols)
 
 
+def _normal(seed: int, *cols) -> Column:
+    """Standard normal number from a hash of the row key: the same on every retry of a task."""
+    unit = [(F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *cols), F.lit(1 << 52)) + 1) / F.lit(float((1 << 52) + 1)) for i in (0, 1)]
+    return F.sqrt(F.lit(-2.0) * F.log(unit[0])) * F.cos(F.lit(2 * math.pi) * unit[1])
+
+
 def _neighbours(df, key, value, time, pos, block):
     return with_known_neighbours(in_blocks(df, key, time, block), key, pos, value)
 

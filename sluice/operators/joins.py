@@ -44,7 +44,8 @@ def containing_names(ids: DataFrame, files: DataFrame, id_col: str = "id", name_
         .select(name_col, F.explode(F.expr(f"transform(sequence(_from, length({name_col})), e -> substring({name_col}, _from, e - _from + 1))")).alias("_part"))
     )
     wanted = ids.select(F.col(id_col).cast("string").alias("_part")).distinct()
-    first = parts.join(wanted, "_part").groupBy("_part").agg(F.min(name_col).alias(name_col))
+    # one row per substring before the join, so a substring of most names is no hot key
+    first = parts.groupBy("_part").agg(F.min(name_col).alias(name_col)).join(wanted, "_part", "left_semi")
     return ids.join(first, ids[id_col].cast("string") == first["_part"]).drop("_part")
 
 

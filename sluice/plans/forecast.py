@@ -61,15 +61,16 @@ class Scaler:
         self.stats = train.groupBy(*self.key).agg(*aggs)
         return self
 
-    def transform(self, df: DataFrame, by="time") -> DataFrame:
+    def transform(self, df: DataFrame, by="time", suffix: str = "") -> DataFrame:
+        """Scaled columns in place, or beside the originals under ``column + suffix``."""
         if self.stats is None:
             raise ValueError("fit the scaler first")
         rows = attach(df, self.stats, self.key, by)
         scaled = {
-            c: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
+            c + suffix: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
             for c in self.columns
         }
-        return rows.withColumns(scaled).select(*df.columns)
+        return rows.withColumns(scaled).drop(*[f"_{p}_{c}" for p in "ms" for c in self.columns])
 
 
 class SeriesModel(ABC):
@@ -181,8 +182,10 @@ class TreeModel(SeriesModel):
         return [*self.features, "_station"]
 
     def _vectors(self, df: DataFrame) -> DataFrame:
-        rows = self.scaler.transform(df) if self.scale else df
-        return VectorAssembler(inputCols=self.inputs, outputCol="_features").transform(self.indexer.transform(rows))
+        rows = self.scaler.transform(df, suffix="_z") if self.scale else df
+        columns = [c + "_z" if self.scale and c in self.features else c for c in self.inputs]
+        rows = VectorAssembler(inputCols=columns, outputCol="_features").transform(self.indexer.transform(rows))
+        return rows.drop(*[f"{c}_z" for c in self.features])
 
     def fit(self, train: DataFrame) -> TreeModel:
         known = train.na.drop(subset=[*self.features, self.label])
@@ -194,10 +197,7 @@ class TreeModel(SeriesModel):
 
     def predict(self, test: DataFrame) -> DataFrame:
         known = test.na.drop(subset=self.features)
-        out = self.model.transform(self._vectors(known))
-        if self.scale:  # hand back the features as they came in
-            return known.join(out.select(self.key, "time", "prediction"), [self.key, "time"])
-        return out.drop("_features", "_station")
+        return self.model.transform(self._vectors(known)).drop("_features", "_station")
 
     def importance(self) -> DataFrame:
         rows = [(f, float(v)) for f, v in zip(self.inputs, self.model.featureImportances.toArray())]

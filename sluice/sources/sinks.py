@@ -24,5 +24,7 @@ def write_series(df: DataFrame, path: str, partition="station", fmt: str = "parq
     writer.format(fmt).save(path)
 
 
-def append_new(df: DataFrame, path: str, partition="station") -> None:
+def append_new(df: DataFrame, path: str, partition=()) -> None:
+    """Add rows to a landing table. Partition by something with few values (a day, a catchment): a
+    folder per station of a large network would mean a file per station and task."""
     df.write.mode("append").partitionBy(*names(partition)).parquet(path)
