@@ -31,13 +31,13 @@ def slots(series: DataFrame, key, step: int, anchored: bool = False, time: str =
     """
     step_us = F.lit(step * 1_000_000)
     first, last = epoch_micros("first_time"), epoch_micros("last_time")
-    day = F.floor(first / F.lit(DAY * 1_000_000)) * F.lit(DAY * 1_000_000)
+    day = F.floor(first / F.lit(DAY * 1_000_000)) * F.lit(DAY * 1_000_000)  # exact below 2^53 microseconds
     start = first if anchored else day + F.floor((first - day) / step_us) * step_us
     carried = [c for c in series.columns if c not in ("first_time", "last_time")]
     n = F.floor((last - start) / step_us) + 1
     return (
         series.filter(F.col("first_time").isNotNull())
-        .select(*carried, start.alias("_start"), n.alias("n_slots"))
+        .select(*carried, F.coalesce(start, F.lit(0)).alias("_start"), n.alias("n_slots"))
         .withColumn(
             "n_slots",
             F.when(F.col("n_slots") > max_slots, F.raise_error(F.lit("grid longer than max_slots")).cast("bigint"))
@@ -73,6 +73,9 @@ def on_grid(df: DataFrame, key, step: int, values="value", anchored: bool = Fals
     promises that (key, time) is already unique.
     """
     keys, values = names(key), names(values)
+    # the join would filter these rows on its own side only, and the two sides could not share a shuffle
+    for c in (*keys, time):
+        df = df.filter(F.col(c).isNotNull())
     readings = df.select(*keys, time, *values) if unique else one_per_time(df, keys, values, time)
     grid = slots(spans(df, keys, time, **extra), keys, step, anchored, time, max_slots)
     return grid.join(readings, [*keys, time], "left")

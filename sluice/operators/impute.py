@@ -14,11 +14,12 @@ from .grid import QUARTER_HOUR, on_grid
 
 
 def month_hour(time: str = "time") -> dict[str, Column]:
-    return {"_month": F.month(time), "_hour": F.hour(time)}
+    at = F.col(time).cast("timestamp")  # its parts are never NULL for a known time, see block_id
+    return {"_month": F.month(at), "_hour": F.hour(at)}
 
 
 def day_slot(time: str = "time") -> dict[str, Column]:
-    return {"_slot_of_year": year_slot(time)}
+    return {"_slot_of_year": year_slot(F.col(time).cast("timestamp"))}
 
 
 def seasonal_fill(df: DataFrame, key="station", value: str = "value", time: str = "time", season=month_hour,
