@@ -51,7 +51,3 @@ def z_score(v, mean, std) -> Column:
 def percent(part, whole) -> Column:
     return F.try_divide(col(part) * F.lit(100.0), col(whole).cast("double"))
 
-
-def full_window(agg, c, over: WindowSpec, n: int) -> Column:
-    """Rolling aggregate that is NULL unless all ``n`` values of the window are known."""
-    return F.when(F.count(col(c)).over(over) == n, agg(col(c)).over(over))

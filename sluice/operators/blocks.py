@@ -243,9 +243,8 @@ def affine_scan(
     sums for all recursions at once; the stretch totals are chained by ``_stretch_starts``.
     """
     keys = names(key)
-    df = df.withColumn("_sub", F.floor((F.col(pos) - 1) / rows))
-    if BLK not in df.columns:  # a caller's own blocks must be the same 16 stretches, so rows stay put
-        df = df.withColumn(BLK, F.floor(F.col("_sub") / 16))
+    if BLK not in df.columns:  # a caller that has placed its rows already brings both columns
+        df = df.withColumn("_sub", F.floor((F.col(pos) - 1) / rows)).withColumn(BLK, F.floor(F.col("_sub") / 16))
     w = Window.partitionBy(*keys, BLK, "_sub").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns({a: F.product(a).over(w) for a, _ in maps} | {f"_raw_{a}": F.col(b) for a, b in maps})
     df = df.withColumns({b: F.col(a) * F.sum(F.col(f"_raw_{a}") / F.col(a)).over(w) for a, b in maps})

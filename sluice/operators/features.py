@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import cyclic
-from ..functions.numeric import full_window, guarded_corr
-from .blocks import BLK, affine_scan, core, filled_forward, inside, names, in_blocks, with_halo, with_row_number
+from ..functions.numeric import guarded_corr
+from .blocks import BLK, BLOCK, affine_scan, core, filled_forward, inside, names, in_blocks, with_halo, with_row_number
 
 LEAD = 6
 
 
-def numbered(df: DataFrame, key="station", time: str = "time", total: str | None = None, block: int = 30 * 86400) -> DataFrame:
+def numbered(df: DataFrame, key="station", time: str = "time", total: str | None = None, block: int = BLOCK) -> DataFrame:
     """Dense row position ``rn`` per series (and its length)."""
     return with_row_number(in_blocks(df, key, time, block), key, time, total).drop(BLK)
 
@@ -23,6 +23,26 @@ def frames(key, pos: str):
     return w, lambda n: w.rowsBetween(-(n - 1), 0)
 
 
+def known_run(key, pos: str, col: str) -> Column:
+    """Length of the run of known values ending at the row (haloed frame).
+
+    One running maximum replaces a count per window: a window of n rows is full where this is n or more.
+    """
+    so_far = inside(key, pos).rowsBetween(Window.unboundedPreceding, 0)
+    gap = F.max(F.when(F.col(col).isNull(), F.col(pos))).over(so_far)
+    return F.col(pos) - F.coalesce(gap, F.first(pos).over(so_far) - 1)
+
+
+def full_windows(df: DataFrame, key, pos: str, made: dict[str, tuple]) -> DataFrame:
+    """Rolling aggregates ``name -> (function, column, n)`` of a haloed frame, NULL unless the window is full."""
+    _, roll = frames(key, pos)
+    columns = sorted({c for _, c, _ in made.values()})
+    rows = df.withColumns({f"_run_{c}": known_run(key, pos, c) for c in columns})
+    return rows.withColumns({
+        name: F.when(F.col(f"_run_{c}") >= n, agg(F.col(c)).over(roll(n))) for name, (agg, c, n) in made.items()
+    }).drop(*[f"_run_{c}" for c in columns])
+
+
 def lead_and_lags(df: DataFrame, key, pos: str, cols: dict[str, range | list[int]], lead: dict[str, int] | None = None) -> DataFrame:
     """``{c}_lag_{k}h`` for the given offsets and ``target_t_plus_{k}`` for the leads."""
     lead = lead or {}
@@ -39,9 +59,8 @@ def rolling(df: DataFrame, key, pos: str, col: str, windows, aggs=("mean", "std"
     """``{c}_rolling_{agg}_{n}h`` over full n-row windows."""
     kinds = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum}
     rows = with_halo(df, key, pos, max(windows) - 1)
-    _, roll = frames(key, pos)
-    made = {f"{col}_rolling_{a}_{n}h": full_window(kinds[a], col, roll(n), n) for n in windows for a in aggs}
-    return core(rows.withColumns(made)).drop(BLK)
+    made = {f"{col}_rolling_{a}_{n}h": (kinds[a], col, n) for n in windows for a in aggs}
+    return core(full_windows(rows, key, pos, made)).drop(BLK)
 
 
 def differences(df: DataFrame, key, pos: str, col: str, lags=(1, 2)) -> DataFrame:
@@ -81,7 +100,8 @@ def ewma(df: DataFrame, key, pos: str, specs: dict[str, tuple[str, int]], rows:
     columns = sorted({c for c, _ in specs.values()})
     df = df.withColumns({name: F.col(c) for name, (c, span) in specs.items() if span == 1})
     rows_in = df.withColumn(BLK, F.floor((F.col(pos) - 1) / (16 * rows)))
-    w = inside(keys, pos)
+    rows_in = rows_in.withColumn("_sub", F.floor((F.col(pos) - 1) / rows))
+    w = inside(keys, "_sub", pos)  # the order the recursion needs next
     up = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     at = {c: F.when(F.col(c).isNotNull(), F.col(pos)) for c in columns}
     carried = rows_in.groupBy(*keys, BLK).agg(*[F.max(at[c]).alias(f"_k_{c}") for c in columns]).select(
@@ -139,18 +159,19 @@ def create_features(df: DataFrame, target: str, weather=(), key="station", time:
 
     back = max([*target_lags, *windows, *diff_lags])
     rows = with_halo(rows, keys, "rn", back, lead)
-    w, roll = frames(keys, "rn")
+    w = inside(keys, "rn")
     made = {f"target_t_plus_{lead}": F.lead(target, lead).over(w)}
     made |= {f"{target}_lag_{k}h": F.lag(target, k).over(w) for k in target_lags}
     made |= {f"{c}_lag_{k}h": F.lag(c, k).over(w) if k else F.col(c) for c in weather for k in weather_lags}
+    rolled = {}
     for n in windows:
-        made[f"{target}_rolling_mean_{n}h"] = full_window(F.avg, target, roll(n), n)
-        made[f"{target}_rolling_std_{n}h"] = full_window(F.stddev_samp, target, roll(n), n)
+        rolled[f"{target}_rolling_mean_{n}h"] = (F.avg, target, n)
+        rolled[f"{target}_rolling_std_{n}h"] = (F.stddev_samp, target, n)
     for c in rain:
         for n in windows:
-            made[f"{c}_rolling_sum_{n}h"] = full_window(F.sum, c, roll(n), n)
-            made[f"{c}_rolling_mean_{n}h"] = full_window(F.avg, c, roll(n), n)
-            made[f"{c}_rolling_std_{n}h"] = full_window(F.stddev_samp, c, roll(n), n)
+            rolled[f"{c}_rolling_sum_{n}h"] = (F.sum, c, n)
+            rolled[f"{c}_rolling_mean_{n}h"] = (F.avg, c, n)
+            rolled[f"{c}_rolling_std_{n}h"] = (F.stddev_samp, c, n)
     for c in [target, *rain]:
         for k in diff_lags:
             made[f"{c}_diff_{k}h"] = F.col(c) - F.lag(c, k).over(w)
@@ -160,8 +181,8 @@ def create_features(df: DataFrame, target: str, weather=(), key="station", time:
         made[f"{name}_sin"], made[f"{name}_cos"] = cyclic(x, period)
     made |= {f"{c}_x_{target}": F.col(c) * F.col(target) for c in rain}
     smoothed = list(specs)
-    out = core(rows.withColumns(made)).filter(F.col(f"target_t_plus_{lead}").isNotNull())
-    data = [target, *weather, *made, *smoothed]
+    out = core(full_windows(rows.withColumns(made), keys, "rn", rolled)).filter(F.col(f"target_t_plus_{lead}").isNotNull())
+    data = [target, *weather, *made, *rolled, *smoothed]
     filled = filled_forward(out, keys, "rn", [c for c in data if c not in ("hour", "day_of_week", "month")])
     return filled.na.drop(subset=data).select(*keys, time, *data)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from abc import ABC, abstractmethod
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,16 +49,19 @@ def expanding_folds(df: DataFrame, k: int, key="station", time: str = "time", bl
 
 
 class Scaler:
-    """Standard scaling per series with the population deviation; a constant column is only centred."""
+    """Standard scaling per series with the population deviation; a constant column is only centred.
 
-    def __init__(self, columns, key="station"):
-        self.columns, self.key, self.stats = list(columns), names(key), None
+    ``extra`` are further per-series aggregates of the training rows to attach as columns.
+    """
+
+    def __init__(self, columns, key="station", extra=None):
+        self.columns, self.key, self.extra, self.stats = list(columns), names(key), extra or {}, None
 
     def fit(self, train: DataFrame) -> Scaler:
         aggs = []
         for c in self.columns:
             aggs += [F.avg(c).alias(f"_m_{c}"), F.stddev_pop(c).alias(f"_s_{c}")]
-        self.stats = train.groupBy(*self.key).agg(*aggs)
+        self.stats = train.groupBy(*self.key).agg(*aggs, *[c.alias(n) for n, c in self.extra.items()])
         return self
 
     def transform(self, df: DataFrame, by="time", suffix: str = "") -> DataFrame:
@@ -157,13 +160,14 @@ class SeasonalAR(SeriesModel):
 
 
 class TreeModel(SeriesModel):
-    """Boosted trees or a random forest over all stations, with the station as one feature.
+    """Boosted trees or a random forest over all stations on features scaled per station.
 
     One distributed fit replaces one local fit per station; rows, not stations, set the parallelism.
+    The station enters as its mean training level, which needs no list of stations on the driver.
     """
 
-    def __init__(self, features, label: str = "value", kind: str = "boosted", key: str = "station", scale: bool = True, **settings):
-        self.features, self.label, self.kind, self.key, self.scale = list(features), label, kind, key, scale
+    def __init__(self, features, label: str = "value", kind: str = "boosted", key: str = "station", **settings):
+        self.features, self.label, self.kind, self.key = list(features), label, kind, key
         if kind == "boosted":
             self.estimator = GBTRegressor(maxDepth=TREE_DEPTH, stepSize=LEARNING_RATE, maxIter=BOOST_ROUNDS, seed=SEED)
         elif kind == "forest":
@@ -171,50 +175,48 @@ class TreeModel(SeriesModel):
         else:
             raise ValueError("kind must be 'boosted' or 'forest'")
         self.estimator = self.estimator.setParams(labelCol=label, featuresCol="_features", **settings)
-        self.model = self.scaler = self.indexer = None
+        self.model = self.scaler = None
 
     def params(self) -> dict:
         return {p.name: v for p, v in self.estimator.extractParamMap().items() if p.name in
                 ("maxDepth", "stepSize", "maxIter", "numTrees", "seed")}
 
-    @property
-    def inputs(self) -> list[str]:
-        return [*self.features, "_station"]
-
     def _vectors(self, df: DataFrame) -> DataFrame:
-        rows = self.scaler.transform(df, suffix="_z") if self.scale else df
-        columns = [c + "_z" if self.scale and c in self.features else c for c in self.inputs]
-        rows = VectorAssembler(inputCols=columns, outputCol="_features").transform(self.indexer.transform(rows))
-        return rows.drop(*[f"{c}_z" for c in self.features])
+        rows = self.scaler.transform(df, suffix="_z")
+        scaled = [f"{c}_z" for c in self.features]
+        return VectorAssembler(inputCols=[*scaled, "_level"], outputCol="_features").transform(rows).drop(*scaled, "_level")
 
     def fit(self, train: DataFrame) -> TreeModel:
         known = train.na.drop(subset=[*self.features, self.label])
-        self.indexer = StringIndexer(inputCol=self.key, outputCol="_station", handleInvalid="keep").fit(known)
-        if self.scale:
-            self.scaler = Scaler(self.features, self.key).fit(known)
+        self.scaler = Scaler(self.features, self.key, {"_level": F.avg(self.label)}).fit(known)
         self.model = self.estimator.fit(self._vectors(known).select("_features", self.label))
         return self
 
     def predict(self, test: DataFrame) -> DataFrame:
-        known = test.na.drop(subset=self.features)
-        return self.model.transform(self._vectors(known)).drop("_features", "_station")
+        return self.model.transform(self._vectors(test.na.drop(subset=self.features))).drop("_features")
 
     def importance(self) -> DataFrame:
-        rows = [(f, float(v)) for f, v in zip(self.inputs, self.model.featureImportances.toArray())]
+        rows = [(f, float(v)) for f, v in zip([*self.features, "station_level"], self.model.featureImportances.toArray())]
         return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
 
 
-class LinearModel(TreeModel):
+class LinearModel(SeriesModel):
     """Least squares over all stations."""
 
-    def __init__(self, features, label: str = "value", key: str = "station", **settings):
-        super().__init__(features, label, "forest", key, scale=False)
-        self.kind = "linear"
-        self.estimator = LinearRegression(labelCol=label, featuresCol="_features", solver="normal", **settings)
+    def __init__(self, features, label: str = "value"):
+        self.features, self.label, self.model = list(features), label, None
+        self.vectors = VectorAssembler(inputCols=self.features, outputCol="_features")
+
+    def params(self) -> dict:
+        return {"features": self.features}
+
+    def fit(self, train: DataFrame) -> LinearModel:
+        known = self.vectors.transform(train.na.drop(subset=[*self.features, self.label]))
+        self.model = LinearRegression(labelCol=self.label, featuresCol="_features", solver="normal").fit(known)
+        return self
 
-    @property
-    def inputs(self) -> list[str]:
-        return self.features
+    def predict(self, test: DataFrame) -> DataFrame:
+        return self.model.transform(self.vectors.transform(test.na.drop(subset=self.features))).drop("_features")
 
 
 def evaluate(df: DataFrame, model: SeriesModel, test_size: int = TEST_ROWS, key="station", value: str = "value",

@@ -309,7 +309,26 @@ def ts10_lowess(spark, sf):
     return tidy(low.lowess(rows, 0.05).select("station", "x", "value", "smooth"))
 
 
-@query("ts10_lowess_robust")
+def lowess_passes_sql(src: str, frac: str, passes: int) -> str:
+    """The local fit repeated with weights from the residuals of the fit before it."""
+    out = [f"pts AS (SELECT station, x, value, count(*) OVER (PARTITION BY station) AS n FROM {src})", "r0 AS (SELECT station, x, 1.0::DOUBLE AS r FROM pts)"]
+    for p in range(passes + 1):
+        out += [
+            f"""d{p} AS (SELECT a.station, a.x, a.value AS own, b.x AS bx, b.value AS y, w.r, abs(b.x - a.x) AS dist, floor({frac} * a.n + 1e-10) AS k
+ FROM pts a JOIN pts b USING (station) JOIN r{p} w ON w.station = b.station AND w.x = b.x)""",
+            f"o{p} AS (SELECT *, row_number() OVER (PARTITION BY station, x ORDER BY dist, bx) AS o FROM d{p})",
+            f"h{p} AS (SELECT station, x, max(dist) FILTER (WHERE o <= k) AS h FROM o{p} GROUP BY 1, 2)",
+            f"t{p} AS (SELECT d.*, CASE WHEN dist < h THEN (1 - (dist / h) ** 3) ** 3 ELSE 0 END * r AS w, bx - d.x AS dx FROM d{p} d JOIN h{p} h ON h.station = d.station AND h.x = d.x)",
+            f"s{p} AS (SELECT station, x, any_value(own) AS own, sum(w) AS w, sum(w * dx) AS sx, sum(w * y) AS sy, sum(w * dx * dx) AS sxx, sum(w * dx * y) AS sxy FROM t{p} GROUP BY 1, 2)",
+            f"f{p} AS (SELECT station, x, own, (sxx * sy - sx * sxy) / (w * sxx - sx * sx) AS smooth FROM s{p})",
+            f"m{p} AS (SELECT station, 6 * quantile_cont(abs(own - smooth), 0.5) AS s FROM f{p} GROUP BY 1)",
+            f"r{p + 1} AS (SELECT station, x, CASE WHEN abs(own - smooth) < s THEN (1 - ((own - smooth) / s) ** 2) ** 2 ELSE 0 END AS r FROM f{p} JOIN m{p} USING (station))",
+        ]
+    return ", ".join(out) + f" SELECT station, x, round(own + 1e-9, 6) AS value, round(smooth + 1e-9, 6) AS smooth FROM f{passes}"
+
+
+@query("ts10_lowess_robust", f"""WITH src AS (SELECT l_returnflag AS station, date_diff('day', DATE '1995-01-01', date_trunc('month', l_shipdate)::DATE) AS x, avg(l_quantity) AS value FROM lineitem GROUP BY 1, 2),
+{lowess_passes_sql('src', '0.3::DOUBLE', 3)}""")
 def ts10_lowess_robust(spark, sf):
     """TS10 with three robust passes on monthly means; each pass is written to the shared folder."""
     rows = lines(spark, sf).groupBy("station", F.trunc("time", "month").alias("time")).agg(F.avg("value").alias("value"))
