@@ -22,9 +22,10 @@ def cleaned(spark, sf):
 
 @query("m02_standard_scaling", f"""WITH {PAIRED}, t AS (SELECT *, row_number() OVER (PARTITION BY station ORDER BY time DESC) > 168 AS train, 3.0::DOUBLE AS constant FROM paired),
 s AS (SELECT station, avg(level) AS m, stddev_pop(level) AS d, avg(rain) AS rm, stddev_pop(rain) AS rd FROM t WHERE train GROUP BY 1)
-SELECT station, time, round((level - m) / CASE WHEN d = 0 THEN 1 ELSE d END + 1e-9, 6) AS level, round((rain - rm) / CASE WHEN rd = 0 THEN 1 ELSE rd END + 1e-9, 6) AS rain, 0.0::DOUBLE AS constant FROM t JOIN s USING (station)""")
+SELECT t.station, t.time, round((level - m) / CASE WHEN d = 0 THEN 1 ELSE d END + 1e-9, 6) AS level, round((rain - rm) / CASE WHEN rd = 0 THEN 1 ELSE rd END + 1e-9, 6) AS rain, CASE WHEN s.m IS NOT NULL THEN 0.0::DOUBLE END AS constant FROM t LEFT JOIN s ON s.station = t.station""")
 def m02_standard_scaling(spark, sf):
-    """Statistics of the training rows applied to all rows."""
+    """Statistics of the training rows applied to all rows; a station without any keeps its rows, unscaled
+    columns being NULL."""
     rows = paired(spark, sf).withColumn("constant", F.lit(3.0))
     train, test = forecast.split_tail(rows, block=TABLE_BLOCK)
     scaler = forecast.Scaler(["level", "rain", "constant"]).fit(train)
