@@ -204,5 +204,5 @@ def s06_station_name_to_id(spark, sf):
     """Names in file spelling looked up in the station table; unknown names give NULL."""
     dim = table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("station_id"))
     asked = dim.select(F.replace(F.lower("name"), F.lit("_"), F.lit("-")).alias("name")).distinct()
-    asked = asked.unionByName(asked.limit(1).select(F.lit("nowhere").alias("name")))
+    asked = asked.unionByName(dim.agg(F.max(F.lit("nowhere")).alias("name")))
     return tidy(joins.station_ids(asked, dim))

@@ -231,7 +231,7 @@ def test_list_literal_with_none(spark):
 
 def test_substring_names(spark):
     ids = spark.createDataFrame([("36",), ("361",)], "id string")
-    files = spark.createDataFrame([("Loe_361_weather",)], "name string")
+    files = spark.createDataFrame([("Sta_361_weather",)], "name string")
     assert sorted(r["id"] for r in joins.containing_names(ids, files).collect()) == ["36", "361"]
 
 

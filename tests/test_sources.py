@@ -13,23 +13,23 @@ HEADER = "measure,dateTime,date,value,completeness,quality,qcode\n"
 
 @pytest.fixture
 def folder(tmp_path):
-    for name, values in (("Denby", ["0.5", "bad"]), ("St-Petrocs-Well", ["1.5", "-0.1"])):
+    for name, values in (("Millpond", ["0.5", "bad"]), ("Upper-Weir-Bridge", ["1.5", "-0.1"])):
         lines = [f"m,2024-01-01T00:{15 * (1 - i):02d}:00,2024-01-01,{v},Complete,Good," for i, v in enumerate(values)]
         (tmp_path / f"{name}-level-15min-Qualified.csv").write_text(HEADER + "\n".join(lines) + "\n")
     return str(tmp_path)
 
 
 def test_river_scan(spark, folder):
-    rows = gauges.read_river(spark, folder, "Denby").orderBy("time").collect()
+    rows = gauges.read_river(spark, folder, "Millpond").orderBy("time").collect()
     assert [(r["station"], r["time"], r["value"]) for r in rows] == [
-        ("Denby", dt.datetime(2024, 1, 1, 0, 0), None), ("Denby", dt.datetime(2024, 1, 1, 0, 15), 0.5)]
+        ("Millpond", dt.datetime(2024, 1, 1, 0, 0), None), ("Millpond", dt.datetime(2024, 1, 1, 0, 15), 0.5)]
 
 
 def test_all_stations_and_columns(spark, folder):
     rows = gauges.read_qualified(spark, folder)
     require(rows, "measure", "date", "value", "completeness", "quality", "qcode")
     assert rows.count() == 4
-    assert sorted(r["station"] for r in gauges.available_stations(spark, folder).collect()) == ["Denby", "St-Petrocs-Well"]
+    assert sorted(r["station"] for r in gauges.available_stations(spark, folder).collect()) == ["Millpond", "Upper-Weir-Bridge"]
 
 
 def test_unknown_station(spark, folder):
