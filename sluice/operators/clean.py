@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import non_negative
-from .blocks import BLK, BLOCK, names, in_blocks, with_moments
+from .blocks import BLOCK, names, in_blocks, with_moments
 
 OUTLIER_STD = 10.0
 
