@@ -5,10 +5,10 @@ share a shingle among the first ``n - ceil(t n) + 1`` of each (the prefix). Docu
 class, classes of equal prefix and size one group; groups that share a prefix shingle are filtered by size and
 position, expanded to their classes, and verified by the exact size of the intersection.
 
-Lists of groups that share a shingle may be long, so pairs inside a list are not all formed. Each round compares a
-list with one of its members (its pivot) only, and joins what is found to be linked; members that are in one
-component already need no comparison. After a few rounds the pairs that are left, between different
-components, are formed exactly. No link between different components is lost, and none is capped.
+Short lists of groups that share a shingle give all their pairs. Of a long list not all pairs are formed: each
+round compares it with one of its members (its pivot) only, and joins what is found to be linked; members
+that are in one component already need no comparison. After a few rounds the pairs that are left, between
+different components, are formed exactly. No link between different components is lost, and none is capped.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ SKETCH = 1 << 22
 _CHUNK = 1 << 14
 #: Task sketches that one merge adds up.
 _FAN = 256
+#: Lists of more members are compared with pivots first; of shorter ones all pairs are formed at once.
+LONG_LIST = 32
 #: Rounds that compare each list with one pivot before the pairs left are formed.
 PIVOT_ROUNDS = 3
 
@@ -216,8 +218,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
+def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of classes of each pair of groups."""
+    groups = pairs.select(F.least("x_g", "y_g").alias("x"), F.greatest("x_g", "y_g").alias("y")).distinct()
+    return (groups.join(members.select(F.col("g").alias("x"), F.col("h").alias("a")), "x")
+            .join(members.select(F.col("g").alias("y"), F.col("h").alias("b")), "y").select("a", "b"))
+
+
 def _ordered_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+    """Each pair once, the smaller class first."""
+    return pairs.toDF("a", "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
@@ -244,50 +254,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = found.groupBy("g").agg(F.min(F.struct("n", "tokens", "positions")).alias("v")).select("g", "v.*")
     posts = groups.select("g", "n", F.explode(F.arrays_zip("tokens", "positions")).alias("e")).select(
         F.col("e.tokens").alias("list"), "g", "n", F.col("e.positions").alias("p"))
-    many = posts.groupBy("list").agg(F.count("*").alias("c")).filter("c > 1").select("list")
+    many = posts.groupBy("list").agg(F.count("*").alias("c")).filter("c > 1")
     posts = written(posts.join(many, "list"), "posts")
-
-    crowded = members.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1").select("g")
-    wanted = posts.select("g").union(crowded).distinct()
-    sets = written(class_sets(docs, id_col, text_col, k, key_bitmap(members.join(wanted, "g"), "h"))
-                   .dropDuplicates(["h"]), "sets")
-
-    labels = None  # (node, label) of classes that are linked already
-    links = None
-    lists = posts
-    inner = members.join(crowded, "g").select(F.col("g").alias("list"), F.col("h").alias("g"), "n", F.lit(0).cast("long").alias("p"))
+    crowded = members.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1")
+    inner = written(members.join(crowded, "g").select(
+        F.col("g").alias("list"), F.col("h").alias("g"), "n", F.lit(0).cast("long").alias("p"), "c"), "inner")
+
+    # lists of few members: all their pairs; a pair is of classes from here on
+    short = _expanded(_pairs_left(_labelled(posts.filter(F.col("c") <= LONG_LIST), None), percent), members)
+    short = short.union(_pairs_left(_labelled(inner.filter(F.col("c") <= LONG_LIST), None), percent).select("x_g", "y_g"))
+    short = written(_ordered_pairs(short), "pairs")
+    lists, within = posts.filter(F.col("c") > LONG_LIST).drop("c"), inner.filter(F.col("c") > LONG_LIST).drop("c")
+    wanted = short.select("a").union(short.select("b")).union(within.select("g")).union(
+        members.join(lists.select("g").distinct(), "g").select("h"))
+    sets = written(class_sets(docs, id_col, text_col, k, key_bitmap(wanted.distinct(), "a")), "sets")
+    if sets.count() > 1.2 * sets.select("h").distinct().count():
+        sets = sets.dropDuplicates(["h"])
+
+    links = written(_verified(short, sets, percent), "verified")
+    labels = written(components(links), "labels")
     for turn in range(PIVOT_ROUNDS + 1):
-        last = turn == PIVOT_ROUNDS
-        marked = _labelled_groups(lists, members, labels)
-        inside = _labelled(inner, labels)
-        if last:
-            pairs, within = _pairs_left(marked, percent), _pairs_left(inside, percent)
+        if not lists.take(1) and not within.take(1):
+            break
+        marked, inside = _labelled_groups(lists, members, labels), _labelled(within, labels)
+        if turn == PIVOT_ROUNDS:
+            pairs, inner_pairs = _pairs_left(marked, percent), _pairs_left(inside, percent)
         else:
             pairs, lists = _pairs_with_pivot(marked, turn, percent)
-            within, inner = _pairs_with_pivot(inside, turn, percent)
-        group_pairs = pairs.select(F.least("x_g", "y_g").alias("x"), F.greatest("x_g", "y_g").alias("y")).distinct()
-        expanded = (group_pairs
-                    .join(members.select(F.col("g").alias("x"), F.col("h").alias("a")), "x")
-                    .join(members.select(F.col("g").alias("y"), F.col("h").alias("b")), "y").select("a", "b"))
-        wanted_pairs = _ordered_pairs(expanded.union(within.select(F.col("x_g").alias("a"), F.col("y_g").alias("b"))))
-        new = written(_verified(wanted_pairs, sets, percent), "verified")
-        any_new = bool(new.take(1))
-        links = new if links is None else links.union(new)
-        if any_new:
+            inner_pairs, within = _pairs_with_pivot(inside, turn, percent)
+        pairs = _ordered_pairs(_expanded(pairs, members).union(inner_pairs.select("x_g", "y_g")))
+        new = written(_verified(pairs, sets, percent), "verified")
+        if new.take(1):
+            links = links.union(new)
             labels = written(components(links), "labels")
-        if last:
-            break
-        lists = written(lists.select("list", "g", "n", "p"), "lists")
-        inner = written(inner.select("list", "g", "n", "p"), "inner")
-        if not lists.take(1) and not inner.take(1):
+        if turn == PIVOT_ROUNDS:
             break
+        lists = written(lists, "lists")
+        within = written(within, "inner")
 
     classes_of = rows.filter("n > 0").groupBy("h").agg(F.min("id").alias("least"))
-    if labels is not None:
-        named = classes_of.join(labels.withColumnRenamed("node", "h"), "h", "left").select(
-            "h", F.coalesce("label", "h").alias("label"), "least")
-        smallest = named.groupBy("label").agg(F.min("least").alias("component"))
-        classes_of = named.join(smallest, "label").select("h", F.col("component").alias("least"))
+    linked = classes_of.join(labels.withColumnRenamed("node", "h"), "h")
+    smallest = linked.groupBy("label").agg(F.min("least").alias("component"))
+    linked = linked.join(smallest, "label").select("h", "component")
+    classes_of = classes_of.join(linked, "h", "left").select("h", F.coalesce("component", "least").alias("least"))
     out = rows.filter("n > 0").join(classes_of, "h", "left").select("id", "n", "least").union(
         rows.filter("n = 0").select("id", "n", "id"))
     return out.toDF(id_col, "n_shingles", "component_id")
