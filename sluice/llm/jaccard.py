@@ -230,7 +230,8 @@ def _ordered_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.toDF("a", "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85,
+                    long_list: int = LONG_LIST) -> DataFrame:
     """(id_col, n_shingles, component_id) for every row of ``docs``.
 
     The set of a row is its distinct ``k``-word shingles (words of non-white-space, A-Z lower-cased); a text of fewer
@@ -261,10 +262,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("g").alias("list"), F.col("h").alias("g"), "n", F.lit(0).cast("long").alias("p"), "c"), "inner")
 
     # lists of few members: all their pairs; a pair is of classes from here on
-    short = _expanded(_pairs_left(_labelled(posts.filter(F.col("c") <= LONG_LIST), None), percent), members)
-    short = short.union(_pairs_left(_labelled(inner.filter(F.col("c") <= LONG_LIST), None), percent).select("x_g", "y_g"))
+    short = _expanded(_pairs_left(_labelled(posts.filter(F.col("c") <= long_list), None), percent), members)
+    short = short.union(_pairs_left(_labelled(inner.filter(F.col("c") <= long_list), None), percent).select("x_g", "y_g"))
     short = written(_ordered_pairs(short), "pairs")
-    lists, within = posts.filter(F.col("c") > LONG_LIST).drop("c"), inner.filter(F.col("c") > LONG_LIST).drop("c")
+    lists, within = posts.filter(F.col("c") > long_list).drop("c"), inner.filter(F.col("c") > long_list).drop("c")
     wanted = short.select("a").union(short.select("b")).union(within.select("g")).union(
         members.join(lists.select("g").distinct(), "g").select("h"))
     sets = written(class_sets(docs, id_col, text_col, k, key_bitmap(wanted.distinct(), "a")), "sets")
@@ -289,8 +290,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             labels = written(components(links), "labels")
         if turn == PIVOT_ROUNDS:
             break
-        lists = written(lists, "lists")
-        within = written(within, "inner")
+        lists = written(lists.drop("label"), "lists")
+        within = written(within.drop("label"), "inner")
 
     classes_of = rows.filter("n > 0").groupBy("h").agg(F.min("id").alias("least"))
     linked = classes_of.join(labels.withColumnRenamed("node", "h"), "h")
