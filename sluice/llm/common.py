@@ -14,8 +14,8 @@ from ..session import shared_folder, work_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-#: Rows of text handed to Python at once. Long texts make large batches, so this is kept low.
-BATCH_ROWS = 256
+#: Rows and bytes of text handed to Python at once.
+BATCH_ROWS, BATCH_BYTES = 2048, "8m"
 
 
 def query(name: str, sql: str | None = None):
@@ -38,6 +38,7 @@ def ready(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

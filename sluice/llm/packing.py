@@ -22,9 +22,17 @@ from pyspark.sql import functions as F
 from .common import mapped, written
 
 #: Words whose ids a Python worker remembers; beyond this it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 #: Texts encoded at once, in bytes.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 23
+#: This kind of tokenizer always cuts between a Latin letter and one of these, so a blank may be put there: words then recur
+#: more often. (Not before an apostrophe, which may begin a contraction.)
+_AFTER_LETTER = np.isin(np.arange(256), np.frombuffer(b'.,;:!?%&*$#|)]}"', dtype=np.uint8))
+_LETTER = np.isin(np.arange(256), np.arange(ord("a"), ord("z") + 1))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Texts with this may hold a special token, which neither lower-casing nor blanks may touch.
+_SPECIAL = "<|"
 #: Parts in which pieces of equal length are counted and ranked.
 RANK_BLOCKS = 64
 
@@ -65,7 +73,12 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): the ids of text i are ``ids[bounds[i]:bounds[i + 1]]``."""
-        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        texts = texts.cast(pa.large_string()).fill_null("")
+        plain = _spaced(texts)
+        special = pc.match_substring(texts, _SPECIAL).to_pylist()
+        if any(special):
+            plain = pa.array([t if x else p for x, t, p in zip(special, texts.to_pylist(), plain.to_pylist())], pa.large_string())
+        lists = pc.ascii_split_whitespace(plain)
         flat = lists.flatten().dictionary_encode()
         distinct = flat.dictionary.to_pylist()
         while True:
@@ -81,6 +94,19 @@ class Encoder:
         return ids, np.concatenate([[0], ends])[words]
 
 
+def _spaced(texts: pa.Array) -> pa.Array:
+    """Texts (large strings without nulls) with A-Z lower-cased and a blank between a letter and a mark that follows it."""
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if offsets[-1] == offsets[0]:
+        return texts
+    data = _LOWER[np.frombuffer(data, dtype=np.uint8)[offsets[0]:offsets[-1]]]
+    at = np.flatnonzero(_AFTER_LETTER[data[1:]] & _LETTER[data[:-1]]) + 1
+    offsets = offsets - offsets[0]
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets + np.searchsorted(at, offsets, side="left")),
+                                            pa.py_buffer(np.insert(data, at, 32)))
+
+
 _encoders: dict[str, Encoder] = {}
 
 

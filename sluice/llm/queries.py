@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard
+from . import jaccard, packing, quality
 from .common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -28,3 +28,19 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.x = w.doc_id
 def op8_ngram_jaccard(spark, sf):
     """Near-duplicate components of all documents by 4-word shingles at a Jaccard similarity of 0.85."""
     return jaccard.near_duplicates(table(spark, sf, "documents"), "doc_id", "text", k=4, percent=85)
+
+
+@query("op3_quality_rules")
+def op3_quality_rules(spark, sf):
+    """Measures of every document and the verdict of the adaptive rules."""
+    docs = table(spark, sf, "documents")
+    return quality.quality_report(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark, sf):
+    """All documents packed into sequences of 4096 tokens."""
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
