@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import jaccard, packing, quality
+from pyspark.sql import functions as F
+
+from . import jaccard, linededup, packing, quality
 from .common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -44,3 +46,30 @@ def op6_best_fit_packing(spark, sf):
     import public_tokenizers
 
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+LINES_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM d),
+u AS (SELECT doc_id, p, line, greatest(1, sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') THEN 1 ELSE 0 END)
+  OVER (PARTITION BY doc_id ORDER BY p)) AS j, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM l),
+f AS (SELECT doc_id, j, t, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w FROM u WHERE t <> ''),
+c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY j) AS upto, sum(w) OVER (PARTITION BY doc_id ORDER BY j) - w AS before FROM f),
+r AS (SELECT a.doc_id, a.j AS s, b.j AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND a.j <= b.j AND b.upto - a.before >= 50
+  AND (b.before - a.before < 50 OR b.upto - a.upto < 50)),
+g AS (SELECT r.doc_id, s, e, string_agg(t, chr(10) ORDER BY j) AS run FROM r JOIN c ON c.doc_id = r.doc_id AND c.j BETWEEN s AND e GROUP BY 1, 2, 3),
+o AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS nth FROM g),
+x AS (SELECT DISTINCT c.doc_id, c.j FROM c JOIN o ON o.doc_id = c.doc_id AND c.j BETWEEN o.s AND o.e WHERE o.nth > 1),
+k AS (SELECT u.doc_id, string_agg(u.line, chr(10) ORDER BY u.p) AS text FROM u LEFT JOIN x ON x.doc_id = u.doc_id AND x.j = u.j WHERE x.j IS NULL GROUP BY 1)
+SELECT d.doc_id, (SELECT count(*) FROM f WHERE f.doc_id = d.doc_id) AS n_lines, (SELECT count(*) FROM x WHERE x.doc_id = d.doc_id) AS n_removed,
+  length(coalesce(k.text, '')) AS n_chars, sha256(coalesce(k.text, '')) AS text_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op2_line_dedup", LINES_SQL)
+def op2_line_dedup(spark, sf):
+    """All documents without later copies of repeated line runs of 50 words or more."""
+    text = F.coalesce("text", F.lit(""))
+    return linededup.dedup_lines(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
