@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import jaccard, linededup, packing, quality
+from . import decontaminate, jaccard, linededup, packing, quality
 from .common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -73,3 +73,30 @@ def op2_line_dedup(spark, sf):
     text = F.coalesce("text", F.lit(""))
     return linededup.dedup_lines(table(spark, sf, "documents")).select(
         "doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+
+
+LEAKS_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all({ASCII_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, coalesce(regexp_extract_all({ASCII_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+  FROM benchmark),
+iw AS (SELECT item, least(len(w), 10) AS n, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 10 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' ')) END) AS t FROM b),
+t AS (SELECT DISTINCT n, t FROM iw),
+dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p, w FROM d, (SELECT DISTINCT n FROM t) WHERE len(w) >= n),
+h AS (SELECT DISTINCT doc_id, p, n, t FROM (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS t FROM dw) JOIN t USING (n, t)),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM h) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM h JOIN iw USING (n, t)) GROUP BY 1)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op1_benchmark_decontamination", LEAKS_SQL)
+def op1_benchmark_decontamination(spark, sf):
+    """Words of every document that lie in a 10-word window of a benchmark item, and those items."""
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
