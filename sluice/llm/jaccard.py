@@ -49,21 +49,30 @@ def profile(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """Per row (id, n, h): size and hash of its shingle set; and per task its shingle counts, in chunks."""
 
     def run(batches):
-        counts, seen = np.zeros(SKETCH, dtype=np.uint32), False
+        counts, waiting, seen = np.zeros(SKETCH, dtype=np.uint32), [], 0
+
+        def add():
+            nonlocal waiting
+            at, c = np.unique(np.concatenate(waiting), return_counts=True)
+            counts[at] += c.astype(np.uint32)
+            waiting = []
+
         task = np.random.SeedSequence().entropy & 0x7FFFFFFFFFFFFFFF
         for batch in batches:
             for a, b, words in W.pieces(batch.column(1), W.NOT_SPACE):
                 hashes, bounds = W.shingle_sets(words, k)
-                at = (hashes & np.uint64(SKETCH - 1)).astype(np.int64)
-                if len(at):
-                    seen = True
-                    counts += np.bincount(at, minlength=SKETCH).astype(np.uint32)
+                waiting.append((hashes & np.uint64(SKETCH - 1)).astype(np.uint32))
+                seen += len(hashes)
+                if sum(map(len, waiting)) > 1 << 19:
+                    add()
                 n = b - a
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, n), pa.array(np.diff(bounds)), pa.array(_signed(_set_hash(hashes, bounds))),
                     pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                     ["id", "n", "h", "task", "chunk", "counts"])
         if seen:
+            if waiting:
+                add()
             for c in range(SKETCH // _CHUNK):
                 yield pa.RecordBatch.from_arrays([
                     pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),

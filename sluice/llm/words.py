@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in pieces of about this many bytes; one longer text is a piece of its own.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 18
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
