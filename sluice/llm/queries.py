@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, linededup, packing, quality
+from . import attribution, decontaminate, jaccard, linededup, packing, quality, urlrules
 from .common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -100,3 +100,39 @@ def op1_benchmark_decontamination(spark, sf):
     return found.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op5_token_attribution")
+def op5_token_attribution(spark, sf):
+    """Tokens of every line of every document, from one encoding of the whole document."""
+    import public_tokenizers
+
+    return attribution.section_tokens(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+# The rules of the query (host, path, verdict).
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+URL_SQL = f"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM u),
+p AS (SELECT page_id, {ASCII_LOWER.replace("text", "coalesce(raw, '')")} AS host,
+  coalesce(regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*'), '') AS path FROM h),
+r(rh, rp, v) AS (VALUES {", ".join(map(str, URL_RULES))}),
+m AS (SELECT page_id, max_by(rh || rp, length(rh || rp)) AS rule, max_by(v, length(rh || rp)) AS v FROM p JOIN r
+  ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY 1)
+SELECT p.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
+"""
+
+
+@query("op9_url_filters", URL_SQL)
+def op9_url_filters(spark, sf):
+    """The rule that fits every page's URL, and the verdict."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf, "pages"), rules)
