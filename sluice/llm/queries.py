@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import attribution, decontaminate, jaccard, linededup, packing, quality, urlrules
+from . import attribution, decontaminate, jaccard, licenses, linededup, packing, pii, quality, urlrules
 from .common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -136,3 +136,34 @@ def op9_url_filters(spark, sf):
     """The rule that fits every page's URL, and the verdict."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlrules.judge(table(spark, sf, "pages"), rules)
+
+
+@query("op4_pii_surrogates")
+def op4_pii_surrogates(spark, sf):
+    """All documents with surrogates for personal data, and how many mentions each had by kind."""
+    out = pii.pseudonymized(table(spark, sf, "documents").select("doc_id", "text"), secret="sluice")
+    return out.select("doc_id", *[f"n_{kind}" for kind in pii.KINDS], "text")
+
+
+def _template_words(text):
+    return f"string_split(trim(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
+
+
+LICENSE_SQL = f"""
+WITH t(license, text) AS (VALUES {", ".join("('" + k + "', '" + v + "')" for k, v in licenses.TEMPLATES.items())}),
+tw AS (SELECT license, {_template_words("text")} AS w FROM t),
+ts AS (SELECT DISTINCT license, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM tw),
+dw AS (SELECT doc_id, {_template_words("coalesce(text, '')")} AS w FROM documents),
+ds AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [] ELSE
+  list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM dw),
+f AS (SELECT doc_id, license FROM ds JOIN ts USING (s) JOIN (SELECT license, count(*) AS n FROM ts GROUP BY 1) USING (license)
+  GROUP BY doc_id, license, n HAVING 100 * count(*) >= 80 * n)
+SELECT d.doc_id, count(license) AS n_licenses, coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses
+FROM documents d LEFT JOIN f USING (doc_id) GROUP BY 1
+"""
+
+
+@query("op7_license_scan", LICENSE_SQL)
+def op7_license_scan(spark, sf):
+    """The licence notices that every document holds."""
+    return licenses.license_report(table(spark, sf, "documents"))
