@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import attribution, decontaminate, jaccard, licenses, linededup, packing, pii, quality, urlrules
+from . import attribution, decontaminate, jaccard, licenses, linededup, packing, pii, quality, template, urlrules
 from .common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -167,3 +167,9 @@ FROM documents d LEFT JOIN f USING (doc_id) GROUP BY 1
 def op7_license_scan(spark, sf):
     """The licence notices that every document holds."""
     return licenses.license_report(table(spark, sf, "documents"))
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark, sf):
+    """The main text of every page."""
+    return template.extract(table(spark, sf, "pages"))
