@@ -6,7 +6,7 @@ class, classes of equal prefix and size one group; groups that share a prefix sh
 position, expanded to their classes, and verified by the exact size of the intersection.
 
 Short lists of groups that share a shingle give all their pairs. Of a long list not all pairs are formed: each
-round compares it with one of its members (its pivot) only, and joins what is found to be linked; members
+round compares it with a few of its members (its pivots) only, and joins what is found to be linked; members
 that are in one component already need no comparison. After a few rounds the pairs that are left, between
 different components, are formed exactly. No link between different components is lost, and none is capped.
 """
@@ -30,8 +30,8 @@ _CHUNK = 1 << 14
 _FAN = 256
 #: Lists of more members are compared with pivots first; of shorter ones all pairs are formed at once.
 LONG_LIST = 32
-#: Rounds that compare each list with one pivot before the pairs left are formed.
-PIVOT_ROUNDS = 3
+#: Rounds that compare each list with so many pivots before the pairs left are formed.
+PIVOT_ROUNDS, PIVOTS = 4, 4
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -198,14 +198,16 @@ def _member(side: str, *cols: str):
 
 
 def _pairs_with_pivot(lists: DataFrame, turn: int, percent: int):
-    """Pairs of each list's pivot with the members of other components; and the lists without their pivots."""
-    pivot = lists.groupBy("list").agg(
-        F.min(F.struct(F.xxhash64("g", F.lit(turn)).alias("r"), "g", "n", "p", "label")).alias("v"),
-        F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("list", "v")
-    rest = lists.join(pivot, "list")
-    pairs = rest.filter("g <> v.g and label <> v.label").select(
+    """Pairs of each list's pivots with the members of other components; and the lists without their pivots."""
+    member = F.struct("g", "n", "p", "label")
+    pivots = lists.groupBy("list").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"),
+        F.array(*[F.min(F.struct(F.xxhash64("g", F.lit(turn * PIVOTS + i)).alias("r"), member.alias("v")))["v"] for i in range(PIVOTS)]).alias("v"))
+    pivots = pivots.filter("lo <> hi").select("list", F.explode(F.array_distinct("v")).alias("v"))
+    pairs = lists.join(pivots, "list").filter("g <> v.g and label <> v.label").select(
         "list", *_member("x", "g", "n", "p"), F.col("v.g").alias("y_g"), F.col("v.n").alias("y_n"), F.col("v.p").alias("y_p"))
-    return pairs.filter(_fits(percent)), rest.filter("g <> v.g").select("list", "g", "n", "p", "label")
+    rest = lists.join(pivots.select("list").distinct(), "list").join(pivots.select("list", F.col("v.g").alias("g")), ["list", "g"], "left_anti")
+    return pairs.filter(_fits(percent)), rest.select("list", "g", "n", "p", "label")
 
 
 def _pairs_left(lists: DataFrame, percent: int):
@@ -220,8 +222,9 @@ def _pairs_left(lists: DataFrame, percent: int):
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes whose sets are similar enough."""
-    a = sets.select(F.col("h").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("h").alias("b"), F.col("shingles").alias("sb"))
+    pairs = written(pairs, "pairs")  # small beside the sets, of which only the members of a pair need to move
+    a = sets.select(F.col("h").alias("a"), F.col("shingles").alias("sa")).join(pairs.select("a").distinct(), "a", "left_semi")
+    b = sets.select(F.col("h").alias("b"), F.col("shingles").alias("sb")).join(pairs.select("b").distinct(), "b", "left_semi")
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"),
                                                   F.size("sa").alias("na"), F.size("sb").alias("nb"))
     return both.filter(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
