@@ -1,10 +1,9 @@
 """Main text of web pages, with templates deduced from the pages of a host.
 
 A page is a sequence of tokens: the paths of its elements, and its text blocks with their path. Over the pages of a host each token has
-an occurrence vector (how often it occurs on which page). Tokens that share a vector form an equivalence class; vectors are compared by
+an occurrence vector (the pages it occurs on). Tokens that share a vector form an equivalence class; vectors are compared by
 a sum of hashes over pages, so a class is found by two aggregates and a hot host is combined before the shuffle. A class is valid
-when it occurs on enough pages; the class of tokens that occur once on every page is the template's root, and classes that repeat
-nest below the path they share. A text block in the class of its own path says the same wherever that path occurs: it belongs to the template.
+when it occurs on enough pages; classes nest as their paths do, from the class of the tokens on every page down. A text block in the class of its own path says the same wherever that path occurs: it belongs to the template.
 The other blocks are the slots. What is extracted are the slots of the article, without the parts that are not main text by their element or name.
 """
 
@@ -136,13 +135,9 @@ def _host(url):
 
 
 def _tokens(host: str, found):
-    """Counts of a page's tokens; a text token carries the token of its path."""
-    counts: dict[tuple[int, int | None], int] = {}
-    for path, _, _, text in found:
-        p = _hash(host, "path", path)
-        for key in ((p, None), (_hash(host, "text", f"{path}\x00{text}"), p)):
-            counts[key] = counts.get(key, 0) + 1
-    return counts
+    """A page's tokens; a text token carries the token of its path."""
+    paths = {path: _hash(host, "path", path) for path, *_ in found}
+    return {(p, None) for p in paths.values()} | {(_hash(host, "text", f"{path}\x00{text}"), paths[path]) for path, _, _, text in found}
 
 
 def template_texts(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -152,9 +147,9 @@ def template_texts(pages: DataFrame, id_col: str, url_col: str, html_col: str) -
         tokens, paths, vectors = [], [], []
         ids = batch.column(0).to_pylist()
         for i, url, page in zip(ids, batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            for (token, path), c in _tokens(_host(url), blocks(page or "")).items():
-                tokens.append(token), paths.append(path)
-                vectors.append(_hash(str(i), "count", f"{c}\x00{url}") >> 16)
+            vector = _hash(str(i), "page", url or "") >> 16
+            for token, path in _tokens(_host(url), blocks(page or "")):
+                tokens.append(token), paths.append(path), vectors.append(vector)
         yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(paths, pa.int64()), pa.array(np.array(vectors, dtype=np.int64))], ["token", "path", "v"])
 
     rows = mapped(pages.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).cast("string").alias("u"), F.col(html_col).cast("string").alias("h")),
