@@ -62,15 +62,16 @@ def override_points(df: DataFrame, corrections: DataFrame, key="station", time:
 
 
 def keep_first(df: DataFrame, key, tie) -> DataFrame:
-    """First row per key in the declared order ``tie``.
+    """First row per key in the declared order ``tie``; a NULL tie comes last. The row is kept whole.
 
     An aggregate rather than a ranked window: copies collapse on the map side, so a key repeated a
     billion times costs one row per task.
     """
     keys, ties = names(key), names(tie)
-    order = F.col(ties[0]) if len(ties) == 1 else F.struct(*ties)
+    order = F.struct(*[x for i, t in enumerate(ties) for x in (F.col(t).isNull().alias(f"n{i}"), F.col(t).alias(f"t{i}"))])
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*[F.min_by(F.col(c), order).alias(c) for c in rest]).select(*df.columns)
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_first"))
+    return first.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
 
 
 def with_copies(df: DataFrame, key, tie: str, salts: int = 1024) -> DataFrame:

@@ -452,10 +452,13 @@ def r01_long_to_wide(spark, sf):
 
 
 @query("r02_pivot_of_means", """SELECT hour(ts) AS hour, round(avg(value) FILTER (WHERE event_type = 'click') + 1e-9, 6) AS click,
+ round(avg(value) FILTER (WHERE event_type = 'error') + 1e-9, 6) AS error,
+ round(avg(value) FILTER (WHERE event_type = 'purchase') + 1e-9, 6) AS purchase,
+ round(avg(value) FILTER (WHERE event_type = 'signup') + 1e-9, 6) AS signup,
  round(avg(value) FILTER (WHERE event_type = 'view') + 1e-9, 6) AS view FROM events GROUP BY 1""")
 def r02_pivot_of_means(spark, sf):
     """Means by hour and station, one column per station."""
-    rows = table(spark, sf, "events").groupBy(F.hour("ts").alias("hour")).pivot("event_type", ["click", "view"]).agg(F.avg("value"))
+    rows = table(spark, sf, "events").groupBy(F.hour("ts").alias("hour")).pivot("event_type", ["click", "error", "purchase", "signup", "view"]).agg(F.avg("value"))
     return tidy(rows)
 
 

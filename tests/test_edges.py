@@ -273,3 +273,10 @@ def test_hybrid_noise_changes_only_filled_cells(slotted):
     out = column(impute.hybrid_fill(slotted(values), limit=1, noise=0.05, seed=7))
     assert out[0] == 4 and out[1] == 4 and out[4] == 8 and out[5] == 8
     assert all(v is not None for v in out)
+
+
+def test_keep_first_with_a_null_tie(spark):
+    from sluice.operators.clean import keep_first
+
+    rows = spark.createDataFrame([("a", None, 1.0), ("a", None, 1.0), ("b", None, 2.0), ("b", 7, None), ("b", 9, 3.0)], "k string, tie long, value double")
+    assert sorted(tuple(r) for r in keep_first(rows, "k", "tie").collect()) == [("a", None, 1.0), ("b", 7, None)]
