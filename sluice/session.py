@@ -48,15 +48,14 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "sluic
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``. Only a session whose executors run in the driver's
     own process may leave it unset; it gets a fresh local folder."""
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        if not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="sluice-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
     return folder
 
 
