@@ -5,6 +5,9 @@ share a shingle among the first ``n - ceil(t n) + 1`` of each (the prefix). Docu
 class, classes of equal prefix and size one group; groups that share a prefix shingle are filtered by size and
 position, expanded to their classes, and verified by the exact size of the intersection.
 
+Before sets are moved, a pair is checked by signatures: the parities of the shingles that fall on each of ``SIGNATURE``
+bits. Two sets differ in at least as many shingles as their signatures in bits, so the check drops no link.
+
 Short lists of groups that share a shingle give all their pairs. Of a long list not all pairs are formed: each
 round compares it with a few of its members (its pivots) only, and joins what is found to be linked; members
 that are in one component already need no comparison. After a few rounds the pairs that are left, between
@@ -31,7 +34,9 @@ _FAN = 256
 #: Lists of more members are compared with pivots first; of shorter ones all pairs are formed at once.
 LONG_LIST = 32
 #: Rounds that compare each list with so many pivots before the pairs left are formed.
-PIVOT_ROUNDS, PIVOTS = 4, 4
+PIVOT_ROUNDS, PIVOTS = 2, 8
+#: Bits of a set's signature, kept as 64-bit integers.
+SIGNATURE = 512
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -45,6 +50,15 @@ def _set_hash(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return W.mix(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
 
 
+def _signatures(hashes: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    """For each set, the parity of the number of its shingles on each bit."""
+    n = len(bounds) - 1
+    bit = np.repeat(np.arange(n) * SIGNATURE, np.diff(bounds)) + (hashes >> np.uint64(30) & np.uint64(SIGNATURE - 1)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=n * SIGNATURE) & 1).astype(np.uint8)
+    ends = np.arange(n + 1, dtype=np.int32) * (SIGNATURE // 64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.packbits(odd).view(np.int64)))
+
+
 def profile(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """Per row (id, n, h): size and hash of its shingle set; and per task its shingle counts, in chunks."""
 
@@ -128,7 +142,7 @@ def _prefixes(words, k, classes, percent):
     ordered, doc, position = _ordered(hashes, bounds, classes)
     keep = position < length[doc]
     starts = np.cumsum(length) - length
-    return _set_hash(hashes, bounds), n, ordered[keep], doc[keep], position[keep], np.append(starts, length.sum())
+    return _set_hash(hashes, bounds), n, ordered[keep], doc[keep], position[keep], np.append(starts, length.sum()), (hashes, bounds)
 
 
 def prefix_tokens(docs, id_col, text_col, k, classes, percent) -> DataFrame:
@@ -144,36 +158,38 @@ def prefix_tokens(docs, id_col, text_col, k, classes, percent) -> DataFrame:
 
 
 def shared_prefixes(docs, id_col, text_col, k, classes, percent, bitmap) -> DataFrame:
-    """Rows that have prefix shingles marked in ``bitmap``: (h, n, g, tokens, positions); g is the group."""
+    """Rows that have prefix shingles marked in ``bitmap``: (h, n, g, s, tokens, positions); g is the group, s the signature."""
     sc = docs.sparkSession.sparkContext
     shared, marked = sc.broadcast(classes), sc.broadcast(bitmap)
 
     def run(batch):
         for a, b, words in W.pieces(batch.column(1), W.NOT_SPACE):
-            h, n, tokens, doc, position, bounds = _prefixes(words, k, shared.value, percent)
+            h, n, tokens, doc, position, bounds, sets = _prefixes(words, k, shared.value, percent)
             group = _set_hash(tokens, bounds) + W.mix(n.astype(np.uint64))
             keep = in_bitmap(marked.value, tokens)
             ends = np.searchsorted(doc[keep], np.arange(b - a + 1)).astype(np.int32)
             out = pa.RecordBatch.from_arrays([
-                pa.array(_signed(h)), pa.array(n), pa.array(_signed(group)),
+                pa.array(_signed(h)), pa.array(n), pa.array(_signed(group)), _signatures(*sets),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(tokens[keep]))),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(position[keep])),
-            ], ["h", "n", "g", "tokens", "positions"])
+            ], ["h", "n", "g", "s", "tokens", "positions"])
             yield out.filter(pa.array(np.diff(ends) > 0))
 
     return mapped(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")), run,
-                  "h long, n long, g long, tokens array<long>, positions array<long>")
+                  "h long, n long, g long, s array<long>, tokens array<long>, positions array<long>")
 
 
 def class_sets(docs, id_col, text_col, k, bitmap) -> DataFrame:
-    """(h, shingles) of rows whose class is marked in ``bitmap``."""
+    """(h, shingles) of rows whose class is marked in ``bitmap``; a class may come more than once."""
     marked = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batch):
         for a, b, words in W.pieces(batch.column(1), W.NOT_SPACE):
             hashes, bounds = W.shingle_sets(words, k)
             h = _set_hash(hashes, bounds)
-            keep = in_bitmap(marked.value, h) & (np.diff(bounds) > 0)
+            first = np.zeros(len(h), dtype=bool)
+            first[np.unique(h, return_index=True)[1]] = True
+            keep = first & in_bitmap(marked.value, h) & (np.diff(bounds) > 0)
             if keep.any():
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(_signed(hashes)))
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(h)), lists], ["h", "shingles"]).filter(pa.array(keep))
@@ -186,11 +202,17 @@ def _overlap_bound(percent: int, x: str, y: str):
     return F.ceil(F.lit(percent) * (F.col(x) + F.col(y)) / F.lit(100 + percent))
 
 
+def _alike(percent: int):
+    """Signature filter on a pair; a group of several classes has no signature and passes."""
+    apart = sum((F.bit_count(F.col("x_s")[i].bitwiseXOR(F.col("y_s")[i])) for i in range(SIGNATURE // 64)), F.lit(0))
+    return F.coalesce(apart <= F.col("x_n") + F.col("y_n") - 2 * _overlap_bound(percent, "x_n", "y_n"), F.lit(True))
+
+
 def _fits(percent: int):
-    """Size and position filters on a pair of list members (columns with the prefixes x_ and y_)."""
+    """Size, position and signature filters on a pair of list members (columns with the prefixes x_ and y_)."""
     small, large = F.least("x_n", "y_n"), F.greatest("x_n", "y_n")
     most = F.least("x_p", "y_p") + F.least(F.col("x_n") - F.col("x_p"), F.col("y_n") - F.col("y_p"))
-    return (100 * small >= percent * large) & (most >= _overlap_bound(percent, "x_n", "y_n"))
+    return (100 * small >= percent * large) & (most >= _overlap_bound(percent, "x_n", "y_n")) & _alike(percent)
 
 
 def _member(side: str, *cols: str):
@@ -199,42 +221,55 @@ def _member(side: str, *cols: str):
 
 def _pairs_with_pivot(lists: DataFrame, turn: int, percent: int):
     """Pairs of each list's pivots with the members of other components; and the lists without their pivots."""
-    member = F.struct("g", "n", "p", "label")
+    member = F.struct("g", "n", "p", "s", "label")
     pivots = lists.groupBy("list").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"),
         F.array(*[F.min(F.struct(F.xxhash64("g", F.lit(turn * PIVOTS + i)).alias("r"), member.alias("v")))["v"] for i in range(PIVOTS)]).alias("v"))
     pivots = pivots.filter("lo <> hi").select("list", F.explode(F.array_distinct("v")).alias("v"))
     pairs = lists.join(pivots, "list").filter("g <> v.g and label <> v.label").select(
-        "list", *_member("x", "g", "n", "p"), F.col("v.g").alias("y_g"), F.col("v.n").alias("y_n"), F.col("v.p").alias("y_p"))
+        *_member("x", "g", "n", "p", "s"), *[F.col(f"v.{c}").alias(f"y_{c}") for c in ("g", "n", "p", "s")])
     rest = lists.join(pivots.select("list").distinct(), "list").join(pivots.select("list", F.col("v.g").alias("g")), ["list", "g"], "left_anti")
-    return pairs.filter(_fits(percent)), rest.select("list", "g", "n", "p", "label")
+    return pairs.filter(_fits(percent)).select("x_g", "y_g"), rest.select("list", "g", "n", "p", "s", "label")
 
 
 def _pairs_left(lists: DataFrame, percent: int):
     """All pairs of different components inside each list that pass the filters. Joined by list and a size band,
     as sizes that differ more cannot be similar. A band is a little wider than needed, against rounding."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(1.0001 * np.log(100.01 / percent)))).cast("long")
-    x = lists.select("list", *_member("x", "g", "n", "p", "label"), F.explode(F.array(band, band + 1)).alias("band"))
-    y = lists.select("list", *_member("y", "g", "n", "p", "label"), band.alias("band"))
+    x = lists.select("list", *_member("x", "g", "n", "p", "s", "label"), F.explode(F.array(band, band + 1)).alias("band"))
+    y = lists.select("list", *_member("y", "g", "n", "p", "s", "label"), band.alias("band"))
     same = x.join(y, ["list", "band"]).filter("x_label <> y_label and x_g <> y_g")
-    return same.select("list", "x_g", "x_n", "x_p", "y_g", "y_n", "y_p").filter(_fits(percent))
+    return same.filter(_fits(percent)).select("x_g", "y_g")
+
+
+def _marked(sets: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """Sets of classes marked in ``bitmap``, once each."""
+    marked = sets.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batch):
+        keep = in_bitmap(marked.value, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        if keep.any():
+            yield batch.filter(pa.array(keep))
+
+    return mapped(sets, run, "h long, shingles array<long>").dropDuplicates(["h"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes whose sets are similar enough."""
-    pairs = written(pairs, "pairs")  # small beside the sets, of which only the members of a pair need to move
-    a = sets.select(F.col("h").alias("a"), F.col("shingles").alias("sa")).join(pairs.select("a").distinct(), "a", "left_semi")
-    b = sets.select(F.col("h").alias("b"), F.col("shingles").alias("sb")).join(pairs.select("b").distinct(), "b", "left_semi")
+    """Pairs (a, b) of classes whose sets are similar enough. Only sets of members of a pair are moved."""
+    pairs = written(pairs, "pairs")
+    needed = written(_marked(sets, key_bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h")), "needed")
+    a, b = needed.toDF("a", "sa"), needed.toDF("b", "sb")
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"),
                                                   F.size("sa").alias("na"), F.size("sb").alias("nb"))
-    return both.filter(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
+    return written(both.filter(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b"), "verified")
 
 
-def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of classes of each pair of groups."""
+def _expanded(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of each pair of groups that pass the signature filter."""
     groups = pairs.select(F.least("x_g", "y_g").alias("x"), F.greatest("x_g", "y_g").alias("y")).distinct()
-    return (groups.join(members.select(F.col("g").alias("x"), F.col("h").alias("a")), "x")
-            .join(members.select(F.col("g").alias("y"), F.col("h").alias("b")), "y").select("a", "b"))
+    both = (groups.join(members.select(F.col("g").alias("x"), *_member("x", "h", "n", "s")), "x")
+            .join(members.select(F.col("g").alias("y"), *_member("y", "h", "n", "s")), "y"))
+    return both.filter(_alike(percent)).select(F.col("x_h").alias("a"), F.col("y_h").alias("b"))
 
 
 def _ordered_pairs(pairs: DataFrame) -> DataFrame:
@@ -261,31 +296,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .groupBy(F.col("token").bitwiseAND(F.lit((1 << 40) - 1)).alias("token")).agg(F.count("*").alias("c")).filter("c > 1"))
     bitmap = key_bitmap(often, "token")
     found = shared_prefixes(docs, id_col, text_col, k, classes, percent, bitmap)
-    found = written(found.groupBy("h").agg(F.first(F.struct("n", "g", "tokens", "positions")).alias("v")).select("h", "v.*"), "prefixes")
+    found = written(found.groupBy("h").agg(F.first(F.struct("n", "g", "s", "tokens", "positions")).alias("v")).select("h", "v.*"), "prefixes")
 
-    members = found.select("g", "h", "n")
-    groups = found.groupBy("g").agg(F.min(F.struct("n", "tokens", "positions")).alias("v")).select("g", "v.*")
-    posts = groups.select("g", "n", F.explode(F.arrays_zip("tokens", "positions")).alias("e")).select(
-        F.col("e.tokens").alias("list"), "g", "n", F.col("e.positions").alias("p"))
+    members = found.select("g", "h", "n", "s")
+    groups = found.groupBy("g").agg(F.min(F.struct("n", "tokens", "positions", "s")).alias("v"), F.count("*").alias("c")).select(
+        "g", "v.n", "v.tokens", "v.positions", F.when(F.col("c") == 1, F.col("v.s")).alias("s"))
+    posts = groups.select("g", "n", "s", F.explode(F.arrays_zip("tokens", "positions")).alias("e")).select(
+        F.col("e.tokens").alias("list"), "g", "n", "s", F.col("e.positions").alias("p"))
     many = posts.groupBy("list").agg(F.count("*").alias("c")).filter("c > 1")
     posts = written(posts.join(many, "list"), "posts")
     crowded = members.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1")
     inner = written(members.join(crowded, "g").select(
-        F.col("g").alias("list"), F.col("h").alias("g"), "n", F.lit(0).cast("long").alias("p"), "c"), "inner")
+        F.col("g").alias("list"), F.col("h").alias("g"), "n", F.lit(0).cast("long").alias("p"), "s", "c"), "inner")
 
     # lists of few members: all their pairs; a pair is of classes from here on
-    short = _expanded(_pairs_left(_labelled(posts.filter(F.col("c") <= long_list), None), percent), members)
-    short = short.union(_pairs_left(_labelled(inner.filter(F.col("c") <= long_list), None), percent).select("x_g", "y_g"))
+    short = _expanded(_pairs_left(_labelled(posts.filter(F.col("c") <= long_list), None), percent), members, percent)
+    short = short.union(_pairs_left(_labelled(inner.filter(F.col("c") <= long_list), None), percent))
     short = written(_ordered_pairs(short), "pairs")
     lists, within = posts.filter(F.col("c") > long_list).drop("c"), inner.filter(F.col("c") > long_list).drop("c")
     wanted = short.select("a").union(short.select("b")).union(within.select("g")).union(
         members.join(lists.select("g").distinct(), "g").select("h"))
     sets = written(class_sets(docs, id_col, text_col, k, key_bitmap(wanted.distinct(), "a")), "sets")
-    if sets.count() > 1.2 * sets.select("h").distinct().count():
-        sets = sets.dropDuplicates(["h"])
 
-    links = written(_verified(short, sets, percent), "verified")
-    labels = written(components(links), "labels")
+    labels = written(components(_verified(short, sets, percent)), "labels")
     for turn in range(PIVOT_ROUNDS + 1):
         if not lists.take(1) and not within.take(1):
             break
@@ -295,11 +328,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         else:
             pairs, lists = _pairs_with_pivot(marked, turn, percent)
             inner_pairs, within = _pairs_with_pivot(inside, turn, percent)
-        pairs = _ordered_pairs(_expanded(pairs, members).union(inner_pairs.select("x_g", "y_g")))
-        new = written(_verified(pairs, sets, percent), "verified")
-        if new.take(1):
-            links = links.union(new)
-            labels = written(components(links), "labels")
+        new = _verified(_ordered_pairs(_expanded(pairs, members, percent).union(inner_pairs)), sets, percent)
+        if new.take(1):  # a label stands for all links found before
+            labels = written(components(new.union(labels.select("node", "label"))), "labels")
         if turn == PIVOT_ROUNDS:
             break
         lists = written(lists.drop("label"), "lists")
