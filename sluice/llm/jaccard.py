@@ -179,12 +179,15 @@ def shared_prefixes(docs, id_col, text_col, k, classes, percent, bitmap) -> Data
                   "h long, n long, g long, s array<long>, tokens array<long>, positions array<long>")
 
 
-def class_sets(docs, id_col, text_col, k, bitmap) -> DataFrame:
-    """(h, shingles) of rows whose class is marked in ``bitmap``; a class may come more than once."""
-    marked = docs.sparkSession.sparkContext.broadcast(bitmap)
+def class_sets(docs, id_col, text_col, k, bitmap, ids) -> DataFrame:
+    """(h, shingles) of rows whose class is marked in ``bitmap`` and whose id in ``ids`` (or null); a class may come more than once."""
+    sc = docs.sparkSession.sparkContext
+    marked, chosen = sc.broadcast(bitmap), sc.broadcast(ids)
 
     def run(batch):
-        for a, b, words in W.pieces(batch.column(1), W.NOT_SPACE):
+        own = batch.column(0)
+        take = in_bitmap(chosen.value, own.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) | own.is_null().to_numpy(zero_copy_only=False)
+        for a, b, words in W.pieces(batch.column(1).filter(pa.array(take)), W.NOT_SPACE):
             hashes, bounds = W.shingle_sets(words, k)
             h = _set_hash(hashes, bounds)
             first = np.zeros(len(h), dtype=bool)
@@ -208,11 +211,16 @@ def _alike(percent: int):
     return F.coalesce(apart <= F.col("x_n") + F.col("y_n") - 2 * _overlap_bound(percent, "x_n", "y_n"), F.lit(True))
 
 
-def _fits(percent: int):
-    """Size, position and signature filters on a pair of list members (columns with the prefixes x_ and y_)."""
+def _reach(percent: int):
+    """Size and position filters on a pair of list members (columns with the prefixes x_ and y_)."""
     small, large = F.least("x_n", "y_n"), F.greatest("x_n", "y_n")
     most = F.least("x_p", "y_p") + F.least(F.col("x_n") - F.col("x_p"), F.col("y_n") - F.col("y_p"))
-    return (100 * small >= percent * large) & (most >= _overlap_bound(percent, "x_n", "y_n")) & _alike(percent)
+    return (100 * small >= percent * large) & (most >= _overlap_bound(percent, "x_n", "y_n"))
+
+
+def _fits(percent: int):
+    """Size, position and signature filters."""
+    return _reach(percent) & _alike(percent)
 
 
 def _member(side: str, *cols: str):
@@ -232,6 +240,14 @@ def _pairs_with_pivot(lists: DataFrame, turn: int, percent: int):
     return pairs.filter(_fits(percent)).select("x_g", "y_g"), rest.select("list", "g", "n", "p", "s", "label")
 
 
+def _pairs_of_short(lists: DataFrame, percent: int):
+    """All pairs inside lists of at most ``LONG_LIST`` members that pass the size and position filters."""
+    all_of = lists.groupBy("list").agg(F.collect_list(F.struct("g", "n", "p")).alias("all"))
+    one = all_of.select(F.explode("all").alias("x"), "all")
+    both = one.select("x", F.explode("all").alias("y")).filter("x.g < y.g")
+    return both.select(*[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in "gnp"]).filter(_reach(percent)).select("x_g", "y_g")
+
+
 def _pairs_left(lists: DataFrame, percent: int):
     """All pairs of different components inside each list that pass the filters. Joined by list and a size band,
     as sizes that differ more cannot be similar. A band is a little wider than needed, against rounding."""
@@ -243,7 +259,7 @@ def _pairs_left(lists: DataFrame, percent: int):
 
 
 def _marked(sets: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """Sets of classes marked in ``bitmap``, once each."""
+    """Sets of classes marked in ``bitmap``."""
     marked = sets.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batch):
@@ -251,17 +267,17 @@ def _marked(sets: DataFrame, bitmap: np.ndarray) -> DataFrame:
         if keep.any():
             yield batch.filter(pa.array(keep))
 
-    return mapped(sets, run, "h long, shingles array<long>").dropDuplicates(["h"])
+    return mapped(sets, run, "h long, shingles array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes whose sets are similar enough. Only sets of members of a pair are moved."""
     pairs = written(pairs, "pairs")
-    needed = written(_marked(sets, key_bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h")), "needed")
+    needed = _marked(sets, key_bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h"))
     a, b = needed.toDF("a", "sa"), needed.toDF("b", "sb")
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"),
                                                   F.size("sa").alias("na"), F.size("sb").alias("nb"))
-    return written(both.filter(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b"), "verified")
+    return written(both.filter(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b").distinct(), "verified")
 
 
 def _expanded(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -299,25 +315,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = written(found.groupBy("h").agg(F.first(F.struct("n", "g", "s", "tokens", "positions")).alias("v")).select("h", "v.*"), "prefixes")
 
     members = found.select("g", "h", "n", "s")
-    groups = found.groupBy("g").agg(F.min(F.struct("n", "tokens", "positions", "s")).alias("v"), F.count("*").alias("c")).select(
-        "g", "v.n", "v.tokens", "v.positions", F.when(F.col("c") == 1, F.col("v.s")).alias("s"))
-    posts = groups.select("g", "n", "s", F.explode(F.arrays_zip("tokens", "positions")).alias("e")).select(
-        F.col("e.tokens").alias("list"), "g", "n", "s", F.col("e.positions").alias("p"))
+    groups = found.groupBy("g").agg(F.min(F.struct("n", "tokens", "positions")).alias("v"), F.count("*").alias("c")).select("g", "v.*", "c")
+    posts = groups.select("g", "n", F.explode(F.arrays_zip("tokens", "positions")).alias("e")).select(
+        F.col("e.tokens").alias("list"), "g", "n", F.col("e.positions").alias("p"))
     many = posts.groupBy("list").agg(F.count("*").alias("c")).filter("c > 1")
     posts = written(posts.join(many, "list"), "posts")
-    crowded = members.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1")
-    inner = written(members.join(crowded, "g").select(
-        F.col("g").alias("list"), F.col("h").alias("g"), "n", F.lit(0).cast("long").alias("p"), "s", "c"), "inner")
+    crowded = groups.select("g", "c").filter("c > 1")
+    inner = written(found.select("g", "h", "n").join(crowded, "g").select(
+        F.col("g").alias("list"), F.col("h").alias("g"), "n", F.lit(0).cast("long").alias("p"), "c"), "inner")
 
     # lists of few members: all their pairs; a pair is of classes from here on
-    short = _expanded(_pairs_left(_labelled(posts.filter(F.col("c") <= long_list), None), percent), members, percent)
-    short = short.union(_pairs_left(_labelled(inner.filter(F.col("c") <= long_list), None), percent))
+    short = _expanded(_pairs_of_short(posts.filter(F.col("c") <= long_list), percent).distinct(), members, percent)
+    short = short.union(_pairs_of_short(inner.filter(F.col("c") <= long_list), percent))
     short = written(_ordered_pairs(short), "pairs")
     lists, within = posts.filter(F.col("c") > long_list).drop("c"), inner.filter(F.col("c") > long_list).drop("c")
-    wanted = short.select("a").union(short.select("b")).union(within.select("g")).union(
-        members.join(lists.select("g").distinct(), "g").select("h"))
-    sets = written(class_sets(docs, id_col, text_col, k, key_bitmap(wanted.distinct(), "a")), "sets")
-
+    wanted = short.select(F.explode(F.array("a", "b")).alias("h")).union(within.select("g")).union(
+        members.join(lists.select("g").distinct(), "g").select("h")).distinct()
+    wanted = written(rows.join(wanted, "h").groupBy("h").agg(F.min("id").alias("id")), "wanted")
+    sets = written(class_sets(docs, id_col, text_col, k, key_bitmap(wanted, "h"), key_bitmap(wanted, "id")), "sets")
+    if sets.count() > 1.2 * wanted.count():  # bitmaps that are full let copies through
+        sets = written(sets.dropDuplicates(["h"]), "sets")
+
+    # members of long lists carry their signatures; a group of several classes has none
+    alone = members.join(lists.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.count("*").alias("c"), F.first("s").alias("s"))
+    lists = written(lists.join(alone.select("g", F.when(F.col("c") == 1, F.col("s")).alias("s")), "g"), "lists")
+    within = written(within.join(members.select(F.col("h").alias("g"), "s"), "g"), "inner")
     labels = written(components(_verified(short, sets, percent)), "labels")
     for turn in range(PIVOT_ROUNDS + 1):
         if not lists.take(1) and not within.take(1):
@@ -346,18 +368,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.toDF(id_col, "n_shingles", "component_id")
 
 
-def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """List members with the component of each; ``g`` is a class."""
-    if labels is None:
-        return lists.withColumn("label", F.col("g"))
     return lists.join(labels.withColumnRenamed("node", "g"), "g", "left").withColumn("label", F.coalesce("label", "g"))
 
 
-def _labelled_groups(lists: DataFrame, members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _labelled_groups(lists: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
     """List members with a label each; ``g`` is a group. Groups have equal labels only where all their classes are in one
     component; a group of several components has a label of its own, so it is compared with every other."""
-    if labels is None:
-        return lists.withColumn("label", F.col("g"))
     of = members.join(labels.withColumnRenamed("node", "h"), "h", "left").withColumn("label", F.coalesce("label", "h"))
     of = of.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select(
         "g", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.xxhash64("g", F.lit("mixed"))).alias("label"))
