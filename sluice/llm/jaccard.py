@@ -35,6 +35,8 @@ _FAN = 256
 LONG_LIST = 32
 #: Rounds that compare each list with so many pivots before the pairs left are formed.
 PIVOT_ROUNDS, PIVOTS = 2, 8
+#: Lists that a member remembers, the first of its lists, to give a pair only in the first of them that both are in.
+HEADS = 16
 #: Bits of a set's signature, kept as 64-bit integers.
 SIGNATURE = 512
 
@@ -241,21 +243,38 @@ def _pairs_with_pivot(lists: DataFrame, turn: int, percent: int):
 
 
 def _pairs_of_short(lists: DataFrame, percent: int):
-    """All pairs inside lists of at most ``LONG_LIST`` members that pass the size and position filters."""
+    """All pairs inside lists of at most ``LONG_LIST`` members that pass the size and position filters; ``shared`` is
+    the number of these lists that both are in."""
     all_of = lists.groupBy("list").agg(F.collect_list(F.struct("g", "n", "p")).alias("all"))
     one = all_of.select(F.explode("all").alias("x"), "all")
     both = one.select("x", F.explode("all").alias("y")).filter("x.g < y.g")
-    return both.select(*[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in "gnp"]).filter(_reach(percent)).select("x_g", "y_g")
+    both = both.select(*[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in "gnp"])
+    return both.groupBy("x_g", "y_g").agg(F.first("x_n").alias("x_n"), F.first("y_n").alias("y_n"), F.count("*").alias("shared"),
+                                          F.max(_reach(percent)).alias("fits")).filter("fits")
+
+
+def _enough_shared(pairs: DataFrame, long_of: DataFrame, percent: int):
+    """Pairs whose prefixes can share enough. Of two prefixes, take the one that ends first in the order of shingles: what
+    both sets share is in both prefixes or in the rest of that set, so prefixes share at least the wanted
+    intersection less the longer rest. ``long_of`` (g, m) is the number of long lists of a group, which may all be shared."""
+    x, y = (long_of.select(F.col("g").alias(f"{side}_g"), F.col("m").alias(f"{side}_m")) for side in "xy")
+    pairs = pairs.join(x, "x_g", "left").join(y, "y_g", "left").na.fill(0, ["x_m", "y_m"])
+    rest = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("x_n", "y_n")])
+    return pairs.filter(F.col("shared") + F.least("x_m", "y_m") >= _overlap_bound(percent, "x_n", "y_n") - rest)
 
 
 def _pairs_left(lists: DataFrame, percent: int):
     """All pairs of different components inside each list that pass the filters. Joined by list and a size band,
-    as sizes that differ more cannot be similar. A band is a little wider than needed, against rounding."""
+    as sizes that differ more cannot be similar. A band is a little wider than needed, against rounding. A pair
+    that also meets in an earlier list is left to that one; what a filter drops there cannot be similar."""
+    heads = lists.groupBy("g").agg(F.slice(F.sort_array(F.collect_list("list")), 1, HEADS).alias("heads"))
+    lists = lists.join(heads, "g")
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(1.0001 * np.log(100.01 / percent)))).cast("long")
-    x = lists.select("list", *_member("x", "g", "n", "p", "s", "label"), F.explode(F.array(band, band + 1)).alias("band"))
-    y = lists.select("list", *_member("y", "g", "n", "p", "s", "label"), band.alias("band"))
+    x = lists.select("list", *_member("x", "g", "n", "p", "s", "label", "heads"), F.explode(F.array(band, band + 1)).alias("band"))
+    y = lists.select("list", *_member("y", "g", "n", "p", "s", "label", "heads"), band.alias("band"))
     same = x.join(y, ["list", "band"]).filter("x_label <> y_label and x_g <> y_g")
-    return same.filter(_fits(percent)).select("x_g", "y_g")
+    first = F.array_min(F.array_intersect("x_heads", "y_heads"))
+    return same.filter(_fits(percent)).filter(first.isNull() | (first >= F.col("list"))).select("x_g", "y_g")
 
 
 def _marked(sets: DataFrame, bitmap: np.ndarray) -> DataFrame:
@@ -325,8 +344,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("g").alias("list"), F.col("h").alias("g"), "n", F.lit(0).cast("long").alias("p"), "c"), "inner")
 
     # lists of few members: all their pairs; a pair is of classes from here on
-    short = _expanded(_pairs_of_short(posts.filter(F.col("c") <= long_list), percent).distinct(), members, percent)
-    short = short.union(_pairs_of_short(inner.filter(F.col("c") <= long_list), percent))
+    long_of = posts.filter(F.col("c") > long_list).groupBy("g").agg(F.count("*").alias("m"))
+    short = _enough_shared(_pairs_of_short(posts.filter(F.col("c") <= long_list), percent), long_of, percent)
+    short = _expanded(short, members, percent).union(
+        _pairs_of_short(inner.filter(F.col("c") <= long_list), percent).select("x_g", "y_g"))
     short = written(_ordered_pairs(short), "pairs")
     lists, within = posts.filter(F.col("c") > long_list).drop("c"), inner.filter(F.col("c") > long_list).drop("c")
     wanted = short.select(F.explode(F.array("a", "b")).alias("h")).union(within.select("g")).union(
