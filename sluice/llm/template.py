@@ -1,10 +1,12 @@
 """Main text of web pages, with templates deduced from the pages of a host.
 
 A page is a sequence of tokens: the paths of its elements, and its text blocks with their path. Over the pages of a host each token has
-an occurrence vector (the pages it occurs on). Tokens that share a vector form an equivalence class; vectors are compared by
-a sum of hashes over pages, so a class is found by two aggregates and a hot host is combined before the shuffle. A class is valid
-when it occurs on enough pages; classes nest as their paths do, from the class of the tokens on every page down. A text block in the class of its own path says the same wherever that path occurs: it belongs to the template.
+an occurrence vector (the page bodies it occurs on). Tokens that share a vector form an equivalence class; vectors are compared by
+a sum of hashes over bodies, so a class is found by two aggregates and a hot host is combined before the shuffle. A class is valid
+when it occurs on enough bodies; classes nest as their paths do, from the class of the tokens on every page down. A text block in the class of its own path says the same wherever that path occurs: it belongs to the template.
 The other blocks are the slots. What is extracted are the slots of the article, without the parts that are not main text by their element or name.
+A body is what a page says after those parts are left out, so copies of a page, with whatever adverts around, have one vote. Where pages share more than
+they differ in, they are edited copies, and what they share is no template.
 """
 
 from __future__ import annotations
@@ -17,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, written
+from .common import in_bitmap, key_bitmap, mapped, written
 
-#: Pages that must share a class before it counts as a template.
+#: Different bodies that must share a class before it counts as a template.
 LEAST_PAGES = 5
 
 # Elements by their role.
@@ -134,62 +136,78 @@ def _host(url):
     return found[1].lower() if found else ""
 
 
-def _tokens(host: str, found):
-    """A page's tokens; a text token carries the token of its path."""
-    paths = {path: _hash(host, "path", path) for path, *_ in found}
-    return {(p, None) for p in paths.values()} | {(_hash(host, "text", f"{path}\x00{text}"), paths[path]) for path, _, _, text in found}
+def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """(row, i, u, main, body, path, token, chars, text): the blocks of every page that are not left out, of its articles if it has one. ``body`` is the
+    hash of all of them."""
 
+    def run(batch):
+        rows = {"i": [], "u": [], "main": [], "body": [], "path": [], "token": [], "chars": [], "text": []}
+        for i, url, page in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            host, found = _host(url), blocks(page or "")
+            main = any(inside and not gone for _, gone, inside, _ in found)
+            kept = [(path, text) for path, gone, inside, text in found if not gone and (inside or not main)]
+            rows["i"].append(i), rows["u"].append(url), rows["main"].append(main)
+            rows["body"].append(_hash(host, "body", "\x00".join(x for b in kept for x in b)))
+            rows["path"].append([_hash(host, "path", path) for path, _ in kept])
+            rows["token"].append([_hash(host, "text", f"{path}\x00{text}") for path, text in kept])
+            rows["chars"].append([len(text) for _, text in kept]), rows["text"].append([text for _, text in kept])
+        types = [pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string())]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
+
+    out = mapped(pages.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).cast("string").alias("u"), F.col(html_col).cast("string").alias("h")),
+                 run, "i long, u string, main boolean, body long, path array<long>, token array<long>, chars array<int>, text array<string>")
+    return written(out.withColumn("row", F.monotonically_increasing_id()), "slots")
+
+
+def template_texts(slots: DataFrame) -> DataFrame:
+    """(token, main, bodies): text tokens that are in the equivalence class of their path, on enough different bodies of their host."""
+    texts = slots.select("main", "body", F.explode(F.arrays_zip("path", "token")).alias("b")).select("b.token", "b.path", "main", "body")
+    paths = texts.select(F.col("path").alias("token"), F.lit(None).cast("long").alias("path"), "main", "body")
+    votes = texts.union(paths).distinct().groupBy("token", "path", "main")
+    vectors = written(votes.agg(F.count("*").alias("bodies"), F.sum(F.shiftright("body", 16).cast("decimal(38,0)")).alias("vector"))
+                      .filter(F.col("bodies") >= LEAST_PAGES), "vectors")
+    path = vectors.filter("path is null").select(F.col("token").alias("path"), "bodies", "vector")
+    return written(vectors.filter("path is not null").join(path, ["path", "bodies", "vector"], "left_semi").select("token", "main", "bodies"), "shared")
+
+
+def template_blocks(slots: DataFrame) -> DataFrame:
+    """(row, drop): the places of the template texts of each page that has any."""
+    shared = template_texts(slots)
+    bitmap = slots.sparkSession.sparkContext.broadcast(key_bitmap(shared, "token"))
 
-def template_texts(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(token): text tokens that are in the equivalence class of their path, on enough pages of their host."""
-
-    def per_page(batch):
-        tokens, paths, vectors = [], [], []
-        ids = batch.column(0).to_pylist()
-        for i, url, page in zip(ids, batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            vector = _hash(str(i), "page", url or "") >> 16
-            for token, path in _tokens(_host(url), blocks(page or "")):
-                tokens.append(token), paths.append(path), vectors.append(vector)
-        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(paths, pa.int64()), pa.array(np.array(vectors, dtype=np.int64))], ["token", "path", "v"])
-
-    rows = mapped(pages.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).cast("string").alias("u"), F.col(html_col).cast("string").alias("h")),
-                  per_page, "token long, path long, v long")
-    vectors = written(rows.groupBy("token", "path").agg(F.count("*").alias("pages"), F.sum(F.col("v").cast("decimal(38,0)")).alias("vector"))
-                      .filter(F.col("pages") >= LEAST_PAGES), "vectors")
-    path = vectors.filter("path is null").select(F.col("token").alias("path"), "pages", "vector")
-    return vectors.filter("path is not null").join(path, ["path", "pages", "vector"], "left_semi").select("token")
+    def run(batch):
+        row, body, tokens, chars = (batch.column(c) for c in range(4))
+        n = tokens.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        of = np.repeat(np.arange(len(n)), n)
+        token, size = tokens.flatten().to_numpy(zero_copy_only=False), chars.flatten().to_numpy(zero_copy_only=False)
+        p = np.arange(len(of)) - (np.cumsum(n) - n)[of]
+        total = np.bincount(of, weights=size, minlength=len(n)).astype(np.int64)
+        hit = in_bitmap(bitmap.value, token.view(np.uint64))
+        at = of[hit]
+        out = {"row": row.to_numpy()[at], "body": body.to_numpy()[at], "p": p[hit].astype(np.int32), "token": token[hit], "chars": size[hit].astype(np.int64), "n": n[at],
+               "total": total[at]}
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in out.values()], list(out))
+
+    hits = mapped(slots.select("row", "body", "token", "chars"), run, "row long, body long, p int, token long, chars long, n long, total long")
+    hits = written(hits.join(shared, "token"), "hits")
+    # edited copies share more than they differ in, by blocks and by characters
+    once = hits.dropDuplicates(["body", "p"])
+    alike = once.groupBy("body").agg(((F.count("*") * 2 > F.first("n")) & (F.sum("chars") * 2 > F.first("total"))).alias("alike"))
+    weak = once.filter("main").select("token", "body").distinct().join(alike, "body")
+    copied = weak.groupBy("token").agg(F.count(F.when(F.col("alike"), 1)).alias("a"), F.count("*").alias("n")).filter("2 * a >= n").select("token")
+    return written(hits.join(copied, "token", "left_anti").groupBy("row").agg(F.collect_set("p").alias("drop")), "template")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id_col, url_col, text, n_chars) for every row of ``pages``.
 
-    The blocks of ``article`` or ``main`` elements are joined in page order by a line break; a page without such an element gives its blocks that are no
-    template text of its host. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by element,
-    role, class or id. A null or empty page has an empty text. Unclosed and wrongly nested elements are read as browsers do. Repeated rows give equal
-    rows; other columns are ignored; an empty table gives an empty result.
+    The blocks of ``article`` or ``main`` elements are joined in page order by a line break; a page without such an element gives all its blocks. Template
+    texts of the host are taken out of both. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out
+    by element, role, class or id. A null or empty page has an empty text. Unclosed and wrongly nested elements are read as browsers do. Repeated rows give
+    equal rows; other columns are ignored; an empty table gives an empty result.
     """
-    fixed = template_texts(pages, id_col, url_col, html_col)
-
-    def run(batch):
-        rows = {"i": [], "u": [], "n": [], "main": [], "token": [], "text": []}
-        for j, (i, url, page) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
-            host, found = _host(url), blocks(page or "")
-            main = any(inside and not gone for _, gone, inside, _ in found)
-            kept = [(_hash(host, "text", f"{path}\x00{text}"), text) for path, gone, inside, text in found if not gone and (inside or not main)]
-            rows["i"].append(i), rows["u"].append(url), rows["n"].append(j), rows["main"].append(main)
-            rows["token"].append([t for t, _ in kept]), rows["text"].append([x for _, x in kept])
-        yield pa.RecordBatch.from_arrays([pa.array(rows["i"], pa.int64()), pa.array(rows["u"], pa.string()), pa.array(rows["main"], pa.bool_()),
-                                          pa.array(rows["token"], pa.list_(pa.int64())), pa.array(rows["text"], pa.list_(pa.string()))],
-                                         ["i", "u", "main", "token", "text"])
-
-    slots = mapped(pages.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).cast("string").alias("u"), F.col(html_col).cast("string").alias("h")),
-                   run, "i long, u string, main boolean, token array<long>, text array<string>")
-    slots = written(slots.withColumn("row", F.monotonically_increasing_id()), "slots")
-    plain = slots.filter("main").select("i", "u", F.array_join("text", "\n").alias("text"))
-    # pages without an article: template texts are taken out block by block
-    rest = slots.filter("not main").select("i", "u", "row", F.posexplode_outer(F.arrays_zip("token", "text")).alias("p", "b"))
-    rest = rest.select("i", "u", "row", "p", "b.token", "b.text").join(fixed.withColumn("fixed", F.lit(True)), "token", "left")
-    rest = rest.groupBy("row").agg(F.first("i").alias("i"), F.first("u").alias("u"), F.array_join(F.transform(F.sort_array(F.collect_list(
-        F.when(F.col("fixed").isNull() & F.col("text").isNotNull(), F.struct("p", "text")))), lambda x: x["text"]), "\n").alias("text"))
-    out = plain.union(rest.select("i", "u", "text"))
+    slots = parsed(pages, id_col, url_col, html_col)
+    out = slots.select("row", "i", "u", "text").join(template_blocks(slots), "row", "left")
+    left = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.filter("text", lambda x, p: ~F.array_contains("drop", p)))
+    out = out.select("i", "u", F.array_join(left, "\n").alias("text"))
     return out.select(F.col("i").alias(id_col), F.col("u").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

@@ -264,6 +264,28 @@ def test_pages(session):
     assert [t for _, t, _ in got[4:]] == [f"Own words {i}" for i in range(6)]
 
 
+def extracted(session, data):
+    """{page_id: set of texts}"""
+    got = collections.defaultdict(set)
+    for r in template.extract(session.createDataFrame(data, "page_id long, url string, html string")).collect():
+        got[r["page_id"]].add(r["text"])
+    return got
+
+
+def test_template_texts_in_articles(session):
+    rng = random.Random(3)
+    own = [[words(rng, 12) for _ in range(3)] for _ in range(8)]
+    page = "<body><div class='ad'>{}</div><article><h1>{}</h1><p>{}</p><p>{}</p><div>Tell your friends</div></article></body>"
+    data = [(i, f"http://a.b/{i}", page.format(i, *x)) for i, x in enumerate(own)]
+    data += [(20 + i, f"http://c.d/{i}", page.format(i, *own[0])) for i in range(9)]  # copies among different adverts
+    edited = "<body><main><h1>{}</h1><p>{}</p><p>{}</p><p>{}</p></main></body>"
+    data += [(40 + i, f"http://e.f/{i}", edited.format(*own[1], f"Edited {i}")) for i in range(9)]
+    got = extracted(session, data)
+    assert all(got[i] == {"\n".join(x)} for i, x in enumerate(own))
+    assert all(got[20 + i] == {"\n".join([*own[0], "Tell your friends"])} for i in range(9))
+    assert all(got[40 + i] == {"\n".join([*own[1], f"Edited {i}"])} for i in range(9))
+
+
 def test_empty_tables(session, empty):
     path, ranks = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     items = empty.select("doc_id", "text").withColumnRenamed("doc_id", "item_id")
