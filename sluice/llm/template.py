@@ -23,6 +23,10 @@ from .common import in_bitmap, key_bitmap, mapped, written
 
 #: Different bodies that must share a class before it counts as a template.
 LEAST_PAGES = 5
+#: The same outside articles, where few pages count as far as they are no edited copies.
+LEAST_BODIES = 2
+ENOUGH = f"not main or bodies >= {LEAST_PAGES}"
+WEAK = f"main or bodies < {LEAST_PAGES}"
 
 # Elements by their role.
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "xmp", "noembed"}
@@ -165,9 +169,10 @@ def template_texts(slots: DataFrame) -> DataFrame:
     paths = texts.select(F.col("path").alias("token"), F.lit(None).cast("long").alias("path"), "main", "body")
     votes = texts.union(paths).distinct().groupBy("token", "path", "main")
     vectors = written(votes.agg(F.count("*").alias("bodies"), F.sum(F.shiftright("body", 16).cast("decimal(38,0)")).alias("vector"))
-                      .filter(F.col("bodies") >= LEAST_PAGES), "vectors")
+                      .filter(F.col("bodies") >= LEAST_BODIES), "vectors")
     path = vectors.filter("path is null").select(F.col("token").alias("path"), "bodies", "vector")
-    return written(vectors.filter("path is not null").join(path, ["path", "bodies", "vector"], "left_semi").select("token", "main", "bodies"), "shared")
+    return written(vectors.filter("path is not null").join(path, ["path", "bodies", "vector"], "left_semi").filter(ENOUGH)
+                   .select("token", "main", "bodies"), "shared")
 
 
 def template_blocks(slots: DataFrame) -> DataFrame:
@@ -193,7 +198,7 @@ def template_blocks(slots: DataFrame) -> DataFrame:
     # edited copies share more than they differ in, by blocks and by characters
     once = hits.dropDuplicates(["body", "p"])
     alike = once.groupBy("body").agg(((F.count("*") * 2 > F.first("n")) & (F.sum("chars") * 2 > F.first("total"))).alias("alike"))
-    weak = once.filter("main").select("token", "body").distinct().join(alike, "body")
+    weak = once.filter(WEAK).select("token", "body").distinct().join(alike, "body")
     copied = weak.groupBy("token").agg(F.count(F.when(F.col("alike"), 1)).alias("a"), F.count("*").alias("n")).filter("2 * a >= n").select("token")
     return written(hits.join(copied, "token", "left_anti").groupBy("row").agg(F.collect_set("p").alias("drop")), "template")
 

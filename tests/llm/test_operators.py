@@ -286,6 +286,25 @@ def test_template_texts_in_articles(session):
     assert all(got[40 + i] == {"\n".join([*own[1], f"Edited {i}"])} for i in range(9))
 
 
+def test_copies_of_pages_without_article(session):
+    rng = random.Random(4)
+    bare = "<body><p>Menu of the site</p><p>{}</p></body>"
+    table = "<body><p>Menu of the site</p><p>Prices</p><table><tr><td>tea</td><td>12</td></tr></table></body>"
+    data = [(1, "http://a.b/x", table)] * 4 + [(2 + i, f"http://a.b/{i}", table) for i in range(8)]  # a host of copies only
+    data += [(20 + i, f"http://c.d/{i}", table) for i in range(8)] + [(30 + i, f"http://c.d/o{i}", bare.format(words(rng, 9))) for i in range(5)]
+    few = [words(rng, 9) for _ in range(3)]
+    data += [(40 + i, f"http://e.f/{i}", bare.format(x)) for i, x in enumerate(few)]
+    long = [words(rng, 9) for _ in range(6)]
+    data += [(50 + i, f"http://g.h/{i}", f"<body><div>{'</div><div>'.join(long)}</div><div>Edited {i}</div></body>") for i in range(3)]
+    data += [(60, "http://i.j/", bare.format("One page"))]
+    got = extracted(session, data)
+    assert all(got[i] == {"Menu of the site\nPrices\ntea\n12"} for i in range(1, 10))
+    assert all(got[20 + i] == {"Prices\ntea\n12"} for i in range(8)) and all("Menu" not in x for i in range(5) for x in got[30 + i])
+    assert all(got[40 + i] == {x} for i, x in enumerate(few))
+    assert all(got[50 + i] == {"\n".join([*long, f"Edited {i}"])} for i in range(3))
+    assert got[60] == {"Menu of the site\nOne page"}
+
+
 def test_empty_tables(session, empty):
     path, ranks = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     items = empty.select("doc_id", "text").withColumnRenamed("doc_id", "item_id")
