@@ -23,10 +23,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies. Documents without an id stay, unless near one that has an
+    """The document of the smallest id of each group of near copies: five-word shingles, similarity 0.8 or more. Documents without an id stay, unless near one that has an
     id; of repeated rows one stays."""
     ready(spark)
-    groups = written(jaccard.near_duplicates(docs), "groups")
+    groups = written(jaccard.near_duplicates(docs, k=5, percent=80), "groups")
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
     kept = docs.join(first.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]) if first.count() > first.distinct().count() else kept

@@ -329,3 +329,24 @@ def test_pipeline(session, small):
             assert docs.columns == columns
             before, kept = docs.count(), {r["doc_id"] for r in docs.select("doc_id").collect()}
     assert {r["doc_id"] for r in docs.select("doc_id").collect()} == kept
+
+
+def test_pipeline_near_duplicates(session):
+    """The stage against all pairs of five-word sets at 0.8."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    texts = []
+    for cut in (8, 13, 17, 19, 20, 21, 22, 23, 24, 25, 31):  # one copy of each, so that no other copy links them
+        base = [f"v{rng.randrange(10 ** 6)}" for _ in range(120)]
+        texts += [" ".join(base), " ".join(base[:-cut] + [f"u{rng.randrange(10 ** 6)}" for _ in range(rng.choice([0, 3]))])]
+    data = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    sets = [shingle_set(t, 5) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j])
+        if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and root[i] != root[j]:
+            low, high = sorted((root[i], root[j]))
+            root = [low if x == high else x for x in root]
+    got = corpus_pipeline.near_duplicates(session, session.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(root))
