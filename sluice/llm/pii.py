@@ -24,22 +24,39 @@ NAMES = {
     "family cyrillic": ["Белов", "Волков", "Громов", "Зимин", "Крылов", "Лебедь", "Мороз", "Орлов", "Попов", "Рыжов", "Снегов", "Титов"],
 }
 
+_HEX = "[0-9A-Fa-f]{1,4}"
 _TITLE = "|".join(t for v in TITLES.values() for t in v)
 KINDS = {
     "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{16})(?<=(?i:token|secret|password|api.?key)\s{0,3}[=:]\s{0,3}['\"]{0,1})[A-Za-z0-9_-]{16,}+",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,20})",
-    "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
+    "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
+          rf"|(?<![0-9A-Za-z:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:(?:{_HEX}:){{1,6}}|:):{_HEX}(?::{_HEX}){{0,5}}|(?:{_HEX}:){{2,7}}:)(?![0-9A-Za-z:])",
+    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+             r"|\+[0-9](?:[ .()/-]{0,2}[0-9]){7,14}(?![0-9])|(?<![0-9+])\([0-9]{2,5}\) ?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+             r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9])",
     "person": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{L}}++(?: \p{{Lu}}\p{{L}}++)?",
 }
 ANY = "|".join(KINDS.values())
 #: A text with none of these cannot hold a mention.
-_HINT = rf"[0-9@]|token|secret|password|{_TITLE}"
+_HINT = rf"[0-9@]|(?i:token|secret|password|api.?key)|[A-Fa-f]:|::|{_TITLE}"
+
+
+def _names(t: Column) -> Column:
+    """The names that the text has after a title, and their entities."""
+    return F.transform(F.regexp_extract_all(t, F.lit(KINDS["person"]), F.lit(0)),
+                       lambda m: F.struct(F.regexp_replace(m, rf"^({_TITLE})\.? ", "").alias("name"), _norm(F.lit("person"), m).alias("norm")))
+
+
+def _pattern(names: Column) -> Column:
+    """Any mention, and the text's own names without a title; longer names come first."""
+    own = F.array_join(F.reverse(F.array_sort(F.array_distinct(names["name"]))), "|")
+    return F.when(F.size(names) > 0, F.concat(F.lit(ANY + r"|(?<!\p{L})(?:"), own, F.lit(r")(?!\p{L})"))).otherwise(F.lit(ANY))
 
 
 def _kind(m: Column) -> Column:
-    return (F.when(m.contains("@"), "email").when(m.rlike(r"^\+"), "phone").when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ip")
+    return (F.when(m.contains("@"), "email").when(m.rlike(r"^[+(]|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"), "phone")
+            .when(m.contains(":") | m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ip")
             .when(m.rlike(r"^([0-9]{4}[ -]?){3}[0-9]{4}$"), "card").when(m.rlike(rf"^({_TITLE})\.? "), "person").otherwise("secret"))
 
 
@@ -47,16 +64,18 @@ def _norm(kind: Column, m: Column) -> Column:
     """What two mentions of one entity have in common."""
     female = F.lit(rf"^({'|'.join(TITLES['f'])})\.? ")
     name = F.regexp_replace(m, rf"^({_TITLE})\.? ", "")
-    return (F.when(kind.isin("phone", "card"), F.regexp_replace(m, r"[^0-9]", "")).when(kind == "email", F.lower(m))
+    return (F.when(kind.isin("phone", "card"), F.regexp_replace(m, r"[^0-9]", "")).when((kind == "email") | m.contains(":"), F.lower(m))
             .when(kind == "person", F.concat(F.when(F.regexp_like(m, female), "f ").otherwise("m "), name)).otherwise(m))
 
 
 def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, k, i, mention, kind, norm) of every mention; ``k`` is the hash of the text."""
     t = F.col(text_col)
-    found = docs.filter(t.rlike(_HINT)).select(F.col(id_col).alias("id"), F.xxhash64(t).alias("k"),
-                                              F.posexplode(F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).alias("i", "mention"))
-    return found.withColumn("kind", _kind(F.col("mention"))).withColumn("norm", _norm(F.col("kind"), F.col("mention")))
+    found = docs.filter(t.rlike(_HINT)).select(F.col(id_col).alias("id"), t.alias("t"), _names(t).alias("names"))
+    found = found.select("id", F.xxhash64("t").alias("k"), "names", F.posexplode(F.regexp_extract_all("t", _pattern(F.col("names")), F.lit(0))).alias("i", "mention"))
+    own = F.get(F.filter("names", lambda x: x["name"] == F.col("mention")), F.lit(0))["norm"]
+    found = found.withColumn("own", own).withColumn("kind", F.when(F.col("own").isNotNull(), "person").otherwise(_kind(F.col("mention"))))
+    return found.select("id", "k", "i", "mention", "kind", F.coalesce("own", _norm(F.col("kind"), F.col("mention"))).alias("norm"))
 
 
 def _drawn(secret: str) -> Column:
@@ -93,6 +112,7 @@ def _drawn(secret: str) -> Column:
     person = F.concat(F.substr("norm", F.lit(1), F.lit(2)), F.when(whole, F.concat(given, F.lit(" "), F.when(F.col("attempt") == 0, family).otherwise(longer)))
                       .otherwise(F.when(F.col("attempt") == 0, family).otherwise(longer)))
     ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (pick(i, 254) + 1).cast("string")), ".")
+    ip = F.when(F.col("norm").contains(":"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.lower(F.hex(pick(i, 65535) + 1))), ":")).otherwise(ip)
     digits = F.concat(F.substr("norm", F.lit(1), F.lit(1)), each(F.substr("norm", F.lit(2)), letter))
     return (F.when(F.col("kind") == "email", F.concat(each(local, letter), extra, F.lit("@"), domain)).when(F.col("kind") == "ip", ip)
             .when(F.col("kind").isin("phone", "card"), F.concat(digits, extra)).when(F.col("kind") == "person", person)
@@ -145,7 +165,7 @@ def pseudonymized(docs: DataFrame, secret: str, id_col: str = "doc_id", text_col
     counts = [f"n_{kind}" for kind in KINDS]
     hinted = F.coalesce(t.rlike(_HINT), F.lit(False))
     out = docs.filter(hinted).join(named, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(t) == F.col("_k")), "left")
-    out = out.withColumn("_rest", F.split(t, ANY))
+    out = out.withColumn("_rest", F.split(t, _pattern(_names(t))))
     text = F.when(F.col("_s").isNull(), t).otherwise(F.array_join(F.transform(
         F.col("_rest"), lambda x, i: F.concat(x, F.coalesce(F.get("_s", i), F.lit("")))), ""))
     out = out.select(*[(text if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns],

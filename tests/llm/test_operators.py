@@ -226,6 +226,26 @@ def test_surrogates(session):
     assert a == b and a != "Anna Weber" and a.split()[0] in pii.NAMES["f latin"]
 
 
+def test_surrogates_of_other_shapes(session):
+    secrets = ["correcthorsebatterystaple", "abcdefghijklmnopqrst", "zyxwvutsrqponmlkjihg"]
+    phones = ["(017) 555-7713", "+33 1 23 45 67 89", "+49 30 901820", "+44 20 7946 0958", "017-555-7713"]
+    data = [f"PASSWORD={secrets[0]}", f"Token: {secrets[1]}", f'API_KEY="{secrets[2]}"', *[f"call {x}, now" for x in phones],
+            "from 2001:db8::8a2e:370:7334 on", "from fe::ab on", "from ABCD:EF:a:b:c:d:e:f on", "mail ann@mail.example.com", "Dr and Frau Weber; later Weber and Webers",
+            "Mr. Jim Poe came. Jim Poe left.", "at 12:30:45 std::sort took a: b"]
+    got = {r["doc_id"]: r for r in pii.pseudonymized(session.createDataFrame(list(enumerate(data)), "doc_id long, text string"), "key").collect()}
+    kinds = ["secret"] * 3 + ["phone"] * 5 + ["ip"] * 3 + ["email"]
+    lost = [*secrets, *phones, "2001:db8::8a2e:370:7334", "fe::ab", "ABCD:EF:a:b:c:d:e:f", "ann@mail"]
+    for i, (kind, x) in enumerate(zip(kinds, lost)):
+        assert x not in got[i]["text"] and {k: got[i][f"n_{k}"] for k in pii.KINDS} == {k: int(k == kind) for k in pii.KINDS}, (x, got[i])
+    for i, x in enumerate(phones):
+        assert re.sub(r"\d", "0", got[3 + i]["text"]) == re.sub(r"\d", "0", data[3 + i])
+    a, b = re.fullmatch(r"Dr and Frau (\S+); later (\S+) and Webers", got[12]["text"]).groups()
+    assert a == b != "Weber" and got[12]["n_person"] == 2
+    a, b = re.fullmatch(r"Mr\. (\S+ \S+) came\. (\S+ \S+) left\.", got[13]["text"]).groups()
+    assert a == b != "Jim Poe"
+    assert got[14]["text"] == data[14]
+
+
 def test_surrogates_stay_distinct(session):
     entities = session.createDataFrame([("email", f"{c}@x.yz") for c in "abcdefghijklmnopqrstuvwxyz"], "kind string, norm string")
     got = pii.surrogates(entities, "key").collect()
