@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import attribution, decontaminate, jaccard, licenses, linededup, packing, pii, quality, template, urlrules
+from . import (
+    attribution, collocations, decontaminate, jaccard, licenses, linededup, packing, pii, quality, sentencepieces, spelling, template, urlrules)
 from .common import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -173,3 +174,72 @@ def op7_license_scan(spark, sf):
 def op10_html_extraction(spark, sf):
     """The main text of every page."""
     return template.extract(table(spark, sf, "pages"))
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark, sf):
+    """Ids of every whole document, and the text they decode to, as digests."""
+    import public_tokenizers
+
+    out = sentencepieces.encode(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+SPELLING_SQL = rf"""
+WITH RECURSIVE step(b, c, i) AS (SELECT range, range, 0 FROM range(256) UNION ALL
+  SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i + 1 FROM step WHERE i < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM step WHERE i = 8),
+bytes AS (SELECT map(list(chr(x::INTEGER)), list(bs)) AS m FROM (SELECT x, CASE WHEN x < 128 THEN [x] ELSE [192 + (x >> 6), 128 + (x & 63)] END AS bs
+  FROM (SELECT range AS x FROM range(1, 256)))),
+r AS (SELECT doc_id, unnest(regexp_extract_all({ASCII_LOWER}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+g AS (SELECT doc_id, run, count(*) AS c FROM r WHERE length(run) >= 6 GROUP BY 1, 2),
+h AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+  lambda ch: m[ch]))), lambda x, y: xor(x >> 8, t[xor(x & 255, y) + 1])), 4294967295) AS h FROM g, crc, bytes),
+s AS (SELECT CASE WHEN h % 199 = 0 THEN concat(substr(run, 1, (h % length(run))::BIGINT), substr(run, (h % length(run))::BIGINT + 2)) ELSE run END AS word, c FROM h),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM s WHERE length(word) >= 6 GROUP BY 1 HAVING sum(c) >= 5),
+e AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+x AS (SELECT word, n, concat(substr(word, 1, i - 1), '*', substr(word, i + 1)) AS replaced, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS less FROM e),
+p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.replaced = b.replaced AND a.word <> b.word
+  UNION SELECT x.word, v.word, v.n FROM x JOIN v ON v.word = less UNION SELECT v.word, x.word, x.n FROM x JOIN v ON v.word = less),
+o AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS nth, count(*) OVER (PARTITION BY word) AS c FROM p),
+f AS (SELECT v.word, v.n, coalesce(o.c, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN o ON o.word = v.word AND nth = 1),
+w(word, root, form) AS (SELECT word, word, form FROM f UNION ALL SELECT w.word, f.word, f.form FROM w JOIN f ON f.word = w.form)
+SELECT f.word, n, n_near, f.form, form_n, root FROM f JOIN w ON w.word = f.word AND w.form IS NULL
+"""
+
+
+@query("op12_spelling_variants", SPELLING_SQL)
+def op12_spelling_variants(spark, sf):
+    """Words of all documents, some with a letter left out on purpose, with their near words, forms and roots."""
+    runs = spelling.letter_runs(table(spark, sf, "documents"))
+    return spelling.group_variants(spelling.counted(runs.select(spelling.with_slips(runs, 199).alias("word"))))
+
+
+COLLOCATION_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({ASCII_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, unnest(w) AS phrase, 1 AS k FROM w
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' '))), 2 FROM w WHERE len(w) > 1
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))), 3 FROM w WHERE len(w) > 2),
+f AS (SELECT lang, phrase, k, count(*) AS a FROM t GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+u AS (SELECT c.*, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w FROM c),
+s AS (SELECT u.*, x.a AS l, y.a AS r, (1000000::HUGEINT * u.a * u.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM u JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(w[:cut], ' ') JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM s),
+i AS (SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase, a FROM c WHERE k = 3),
+m AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY 1, 2),
+q AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, l, r, score
+  FROM b LEFT JOIN m ON m.lang = b.lang AND m.phrase = b.phrase WHERE nth = 1 AND (longer IS NULL OR 100 * longer < 50 * b.a))
+SELECT q.lang, rank, phrase, a, l, r, n, score FROM q JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATION_SQL)
+def op13_collocations(spark, sf):
+    """The 2000 phrases of two or three words of every language whose words attract each other most."""
+    return collocations.collocations(table(spark, sf, "documents"))
