@@ -11,16 +11,21 @@ shuffled once.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 HOUR = 3600
 DAY = 86400
 #: About a week: some 670 rows of a 15-minute series, 600 thousand of a 1 Hz one. Pass a shorter block for faster
 #: sensors; ``suggest_block`` measures one.
 BLOCK = 7 * DAY
 BLK = "_blk"
+#: Block of the rows without a time: above every real one, as times have 63 bits of microseconds at most.
+NO_TIME = 1 << 62
 
 
 def names(cols) -> list[str]:
@@ -37,9 +42,10 @@ def from_micros(col: Column) -> Column:
 
 def block_id(time, seconds: int) -> Column:
     """Number of the block a time falls in; the length is the power of two of microseconds next to
-    ``seconds``. A shift, unlike a quotient, is never NULL for a known time, which spares a filter that
-    would keep equal shuffles from being shared."""
-    return F.shiftright(epoch_micros(time), round(math.log2(seconds * 1_000_000)))
+    ``seconds``. Rows without a time share a block of their own after all others, so that joins on the
+    block keep them. The number is never NULL, which spares a filter that would keep equal shuffles from
+    being shared."""
+    return F.coalesce(F.shiftright(epoch_micros(time), round(math.log2(seconds * 1_000_000))), F.lit(NO_TIME))
 
 
 def in_blocks(df: DataFrame, key, time: str = "time", block: int = BLOCK) -> DataFrame:
@@ -89,15 +95,24 @@ def with_row_number(df: DataFrame, key, order, total: str | None = None, name: s
     )
 
 
+def with_keyless(df: DataFrame, key, apply: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``apply`` to the rows that belong to a series; rows without a key, which joins on it would lose, come back as they
+    are, with NULL in the columns that ``apply`` adds. Their filter reaches the scan, so where there are none this costs next to nothing."""
+    known = F.lit(True)
+    for k in names(key):
+        known = known & F.col(k).isNotNull()
+    return apply(df.filter(known)).unionByName(df.filter(~known), allowMissingColumns=True)
+
+
 def with_halo(df: DataFrame, key, pos: str, back: int, ahead: int = 0, rows: int = 0) -> DataFrame:
     """Cut rows into (key, row block) together with the neighbours a bounded frame needs.
 
-    ``pos`` is a dense 1-based row position. A row is copied to every block one of whose rows looks
+    ``pos`` is a dense row position, counted from 0 or from 1. A row is copied to every block one of whose rows looks
     back over ``back`` or ahead over ``ahead`` rows and meets it. Rows belonging to the block carry
     ``_core``; run the window over (key, _blk) and then keep core rows only.
     """
     rows = rows or max(4096, 8 * (back + ahead))
-    at = F.col(pos) - 1
+    at = F.col(pos)
     low = F.greatest(F.floor((at - ahead) / rows), F.lit(0).cast("bigint"))
     high = F.floor((at + back) / rows)
     return (
@@ -232,19 +247,22 @@ def runs(df: DataFrame, key, order, label: str, time: str = "time") -> DataFrame
     return pieces.filter(~border).select(*out).unionByName(joined.select(*out))
 
 
-def affine_scan(
-    df: DataFrame, key, pos: str, maps: list[tuple[str, str]], rows: int = 256, fan: int = 2048, levels: int = 3
-) -> DataFrame:
-    """Run the recursions ``y = a*y + b`` of a series along ``pos`` (dense, 1-based), started at zero.
+def affine_scan(df: DataFrame, key, pos: str, maps: list[tuple[str, str]], rows: int = 256, fan: int = 2048) -> DataFrame:
+    """Run the recursions ``y = a*y + b`` of a series along ``pos`` (dense, from 0 or 1), started at zero.
 
     Afterwards each ``b`` column holds y at the row; the ``a`` columns are dropped. Slopes must lie in
     [1e-60, 1] and fall no faster than 1/3 per row on average, so that the running product of one
     short stretch stays a normal number. Inside a stretch y = P * (y0 + sum(b/P)) with two window
-    sums for all recursions at once; the stretch totals are chained by ``_stretch_starts``.
+    sums for all recursions at once; the stretch totals are chained by ``_stretch_starts``, over as many
+    levels as the longest series needs: its length is read first, as one number.
     """
     keys = names(key)
+    longest = df.agg(F.max(pos)).first()[0] or 0
+    levels, stretches = 1, longest // rows + 1
+    while stretches > fan:
+        levels, stretches = levels + 1, -(-stretches // fan)
     if BLK not in df.columns:  # a caller that has placed its rows already brings both columns
-        df = df.withColumn("_sub", F.floor((F.col(pos) - 1) / rows)).withColumn(BLK, F.floor(F.col("_sub") / 16))
+        df = df.withColumn("_sub", F.floor(F.col(pos) / rows)).withColumn(BLK, F.floor(F.col("_sub") / 16))
     w = Window.partitionBy(*keys, BLK, "_sub").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns({a: F.product(a).over(w) for a, _ in maps} | {f"_raw_{a}": F.col(b) for a, b in maps})
     df = df.withColumns({b: F.col(a) * F.sum(F.col(f"_raw_{a}") / F.col(a)).over(w) for a, b in maps})
@@ -264,8 +282,9 @@ def affine_scan(
 def _stretch_starts(totals: DataFrame, keys: list[str], n: int, fan: int, levels: int) -> DataFrame:
     """Value of every recursion at the start of each stretch, from the stretch totals (a, b).
 
-    ``fan`` totals are folded in one short array; the folded groups are chained the same way one
-    level up, so no array ever grows with the series.
+    Up-sweep: ``fan`` totals are folded in one short array, and the folded groups the same way one level up, until one
+    group holds a whole series. Down-sweep: each level gets the values its groups start with from the one above. So no array
+    ever grows with the series.
     """
     up = F.floor(F.col("_idx") / fan)
     grouped = totals.groupBy(*keys, up.alias("_up")).agg(
@@ -284,10 +303,10 @@ def _stretch_starts(totals: DataFrame, keys: list[str], n: int, fan: int, levels
         "_f", F.aggregate("_list", F.struct(identity.alias("now"), nothing.alias("out")), step)
     ).select(*keys, "_up", "_f")
     if levels == 1:
-        too_long = F.raise_error(F.lit("series too long for this scan: raise rows, fan or levels"))
-        zero = F.array_repeat(F.lit(0.0), n)
-        folded = folded.withColumn("_in", F.when(F.col("_up") == 0, zero).otherwise(too_long.cast("array<double>")))
+        folded = folded.withColumn("_in", F.array_repeat(F.lit(0.0), n))
     else:
+        if levels > 2:  # every further level would plan all levels below it twice
+            folded = checkpoint(folded)
         above = folded.select(*keys, F.col("_up").alias("_idx"), F.col("_f.now").alias("_m"))
         starts = _stretch_starts(above, keys, n, fan, levels - 1)
         folded = folded.join(starts.select(*keys, F.col("_idx").alias("_up"), F.col("_y").alias("_in")), [*keys, "_up"])

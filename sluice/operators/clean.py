@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import non_negative
-from .blocks import BLOCK, names, in_blocks, with_moments
+from .blocks import BLOCK, names, in_blocks, with_keyless, with_moments
 
 OUTLIER_STD = 10.0
 
@@ -23,20 +23,36 @@ def outlier(value, mean, std, k: float = OUTLIER_STD) -> Column:
 
 def null_outliers(df: DataFrame, key="station", value: str = "value", time: str = "time", k: float = OUTLIER_STD,
                   low_only: bool = False, block: int = BLOCK) -> DataFrame:
-    """Blank values beyond k deviations of their own series."""
+    """Blank values beyond k deviations of their own series. Rows without a time take part; rows without a series stay as they are."""
     cols = df.columns
-    rows = with_moments(in_blocks(df, key, time, block), key, value, prefix="_s_")
     bad = F.coalesce(F.col(value) < F.col("_s_mean") - k * F.col("_s_std"), F.lit(False)) if low_only else outlier(
         value, "_s_mean", "_s_std", k)
-    return rows.withColumn(value, F.when(~bad, F.col(value))).select(*cols)
+
+    def blank(part: DataFrame) -> DataFrame:
+        rows = with_moments(in_blocks(part, key, time, block), key, value, prefix="_s_")
+        return rows.withColumn(value, F.when(~bad, F.col(value))).select(*cols)
+
+    return with_keyless(df, key, blank)
 
 
 def flag_implausible(df: DataFrame, key="station", value: str = "value", time: str = "time", k: float = OUTLIER_STD,
                      block: int = BLOCK) -> DataFrame:
-    """Flag values above mean + k·std or below zero; the moments include the negatives."""
-    rows = with_moments(in_blocks(df, key, time, block), key, value, prefix="_s_")
+    """Flag values above mean + k·std or below zero; the moments include the negatives. Rows without a time take part; rows
+    without a series have no moments, and a NULL flag."""
     flag = (F.col(value) > F.col("_s_mean") + k * F.col("_s_std")) | (F.col(value) < 0)
-    return rows.withColumn("implausible", F.coalesce(flag, F.lit(False))).select(*df.columns, "implausible")
+
+    def flagged(part: DataFrame) -> DataFrame:
+        rows = with_moments(in_blocks(part, key, time, block), key, value, prefix="_s_")
+        return rows.withColumn("implausible", F.coalesce(flag, F.lit(False))).select(*df.columns, "implausible")
+
+    return with_keyless(df, key, flagged)
+
+
+def blank_implausible(df: DataFrame, key="station", value: str = "value", time: str = "time", k: float = OUTLIER_STD,
+                      block: int = BLOCK) -> DataFrame:
+    """Blank the values that ``flag_implausible`` marks; every row stays."""
+    rows = flag_implausible(df, key, value, time, k, block)
+    return rows.withColumn(value, F.when(~F.coalesce("implausible", F.lit(False)), F.col(value))).drop("implausible")
 
 
 def implausible_report(df: DataFrame, key="station", value: str = "value", k: float = OUTLIER_STD) -> DataFrame:

@@ -99,8 +99,8 @@ def ewma(df: DataFrame, key, pos: str, specs: dict[str, tuple[str, int]], rows:
     keys = names(key)
     columns = sorted({c for c, _ in specs.values()})
     df = df.withColumns({name: F.col(c) for name, (c, span) in specs.items() if span == 1})
-    rows_in = df.withColumn(BLK, F.floor((F.col(pos) - 1) / (16 * rows)))
-    rows_in = rows_in.withColumn("_sub", F.floor((F.col(pos) - 1) / rows))
+    rows_in = df.withColumn(BLK, F.floor(F.col(pos) / (16 * rows)))
+    rows_in = rows_in.withColumn("_sub", F.floor(F.col(pos) / rows))
     w = inside(keys, "_sub", pos)  # the order the recursion needs next
     up = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     at = {c: F.when(F.col(c).isNotNull(), F.col(pos)) for c in columns}

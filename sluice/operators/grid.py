@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import DAY, HOUR, epoch_micros, from_micros, names, in_blocks, with_known_neighbours
+from .blocks import DAY, HOUR, attach, epoch_micros, from_micros, names, in_blocks, with_previous
 
 QUARTER_HOUR = 900
 #: More slots than this in one series is taken for a wrong timestamp.
@@ -114,23 +114,35 @@ def daily_at_midnight(df: DataFrame, key, values="value", time: str = "time") ->
 
 def nearest_on_grid(df: DataFrame, key, step: int = HOUR, value: str = "value", time: str = "time",
                     block: int = 30 * DAY) -> DataFrame:
-    """Nearest known reading on either side of each clock slot; a tie takes the later one.
+    """Nearest reading on either side of each clock slot, whether its value is known or not; a tie takes the later one.
 
-    Slots and readings are merged by time and neighbours found by in-block windows, so no reading is
-    ever paired with more than its two slots.
+    An as-of merge in both directions without a grid: each reading looks back at the one before it, across
+    block borders, and lays out the slots in between; the nearer of the two gives a slot its value. Only the
+    first reading lays out its own slot as well. Of equal times a known value wins. Rows without a time have no place and go.
     """
-    keys = names(key)
-    known = df.filter(F.col(value).isNotNull())
-    grid = slots(spans(df, keys, time), keys, step, False, time).select(
-        *keys, time, F.lit(None).cast("double").alias(value), F.lit(True).alias("_slot")
-    )
-    merged = (
-        known.select(*keys, time, F.col(value).cast("double").alias(value), F.lit(False).alias("_slot"))
-        .unionByName(grid)
-        .groupBy(*keys, time).agg(F.max(value).alias(value), F.max("_slot").alias("_slot"))
+    keys, us = names(key), F.col("_us")
+    readings = (
+        df.filter(F.col(time).isNotNull()).groupBy(*keys, time).agg(F.max(value).cast("double").alias("_value"))
         .withColumn("_us", epoch_micros(time))
+        .withColumn("_here", F.struct("_us", "_value"))
+    )
+    rows = with_previous(in_blocks(readings, keys, time, block), keys, "_us", "_here", "_prev")
+    step_us, day_us = step * 1_000_000, DAY * 1_000_000
+    if DAY % step:  # slots are counted from midnight of the first day
+        first = readings.groupBy(*keys).agg((F.floor(F.min("_us") / day_us) * day_us).alias("_origin"))
+        rows = attach(rows, first, keys, "_us")
+    else:
+        rows = rows.withColumn("_origin", F.lit(0).cast("bigint"))
+    slot_of = lambda t: F.floor((t - F.col("_origin")) / F.lit(step_us))
+    low = F.coalesce(slot_of(F.col("_prev._us")) + 1, slot_of(us))
+    laid = (
+        rows.select(*keys, "_us", "_value", "_prev", "_origin", low.alias("_low"), slot_of(us).alias("_high"))
+        .filter("_low <= _high")
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_high") - F.col("_low")) / _CHUNK))))
+        .withColumn("_slot", F.explode(F.sequence(
+            F.col("_low") + F.col("_chunk") * _CHUNK,
+            F.least(F.col("_low") + F.col("_chunk") * _CHUNK + (_CHUNK - 1), F.col("_high")))))
+        .withColumn("_at", F.col("_origin") + F.col("_slot") * step_us)
     )
-    near = with_known_neighbours(in_blocks(merged, keys, time, block), keys, "_us", value).filter("_slot")
-    left, right = F.col("_us") - F.col("_prev.pos"), F.col("_next.pos") - F.col("_us")
-    later = F.col("_prev").isNull() | (F.col("_next").isNotNull() & (right <= left))
-    return near.select(*keys, time, F.when(later, F.col("_next.value")).otherwise(F.col("_prev.value")).alias(value))
+    later = F.col("_prev").isNull() | (us - F.col("_at") <= F.col("_at") - F.col("_prev._us"))
+    return laid.select(*keys, from_micros(F.col("_at")).alias(time), F.when(later, F.col("_value")).otherwise(F.col("_prev._value")).alias(value))

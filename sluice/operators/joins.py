@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import col
 from ..functions.text import normal_name
-from .blocks import names
+from .blocks import names, with_keyless
 
 
 def on_time(left: DataFrame, right: DataFrame, time: str = "time", suffix: str = "_right") -> DataFrame:
@@ -77,10 +77,14 @@ def side_by_side(left: DataFrame, right: DataFrame, key, suffixes=("_a", "_b"))
 def lookup_mean(df: DataFrame, value: str, **parts) -> DataFrame:
     """Attach ``part_mean``, the group mean over calendar parts, summed per day first.
 
-    The means come back on (parts, day), so rows of one hot part are spread over days.
+    The means come back on (parts, day), so rows of one hot part are spread over days. Rows without a time or a part have no mean.
     """
+
+    def placed(part: DataFrame) -> DataFrame:
+        partial = part.groupBy(*parts, "_day").agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
+        means = partial.groupBy(*parts).agg((F.sum("_s") / F.nullif(F.sum("_c"), F.lit(0))).alias("part_mean"))
+        spread = partial.select(*parts, "_day").join(means, list(parts))
+        return part.join(spread, [*parts, "_day"])
+
     rows = df.withColumns({n: col(c) for n, c in parts.items()}).withColumn("_day", F.to_date("time"))
-    partial = rows.groupBy(*parts, "_day").agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
-    means = partial.groupBy(*parts).agg((F.sum("_s") / F.nullif(F.sum("_c"), F.lit(0))).alias("part_mean"))
-    spread = partial.select(*parts, "_day").join(means, list(parts))
-    return rows.join(spread, [*parts, "_day"]).drop("_day")
+    return with_keyless(rows, [*parts, "_day"], placed).drop("_day")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import guarded_corr, sample_skew, z_score
-from .blocks import BLOCK, attach, names, in_blocks, with_moments, with_previous
+from .blocks import BLOCK, attach, names, in_blocks, with_keyless, with_moments, with_previous
 from .quantiles import exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -66,9 +66,13 @@ def box_stats(df: DataFrame, keys, value: str = "value") -> DataFrame:
 
 
 def monthly_anomaly(df: DataFrame, key="station", value: str = "value", time: str = "time", block: int = BLOCK) -> DataFrame:
-    """Value minus the mean of its calendar month over all years."""
-    rows = with_moments(in_blocks(df.withColumn("month", F.month(time)), key, time, block), key, value, ["month"], "_s_")
-    return rows.select(*df.columns, "month", (F.col(value) - F.col("_s_mean")).alias("anomaly"))
+    """Value minus the mean of its calendar month over all years; rows without a series or a time have neither."""
+
+    def placed(part: DataFrame) -> DataFrame:
+        rows = with_moments(in_blocks(part.withColumn("month", F.month(time)), key, time, block), key, value, ["month"], "_s_")
+        return rows.select(*df.columns, "month", (F.col(value) - F.col("_s_mean")).alias("anomaly"))
+
+    return with_keyless(df, [*names(key), time], placed)
 
 
 def extreme_events(df: DataFrame, key="station", value: str = "value", time: str = "time", q: float = 0.99) -> DataFrame:
