@@ -107,6 +107,16 @@ def st7_stream_join(spark, sf):
     return plain(jobs.drain(jobs.river_with_weather(readings(spark, sf), weather), "join"))
 
 
+@query("st7_stream_hourly_join", f"""WITH w AS (SELECT event_type AS station, time_bucket(INTERVAL '1 hour', ts) AS h, avg(value) AS rain, count(*) AS n_rain FROM events GROUP BY 1, 2)
+SELECT event_type AS station, ts AS time, round(value - 5 + 1e-9, 6) AS value, round(rain + 1e-9, 6) AS rain, n_rain
+FROM events JOIN w ON w.station = event_type AND w.h = time_bucket(INTERVAL '1 hour', ts) WHERE h + INTERVAL '1 hour' <= {MARK}""")
+def st7_stream_hourly_join(spark, sf):
+    """ST7: readings joined with the hourly mean of the weather stream; every reading of a closed hour comes out once."""
+    weather = events_stream(spark, sf).select(
+        F.col("event_type").alias("station"), F.col("ts").cast("timestamp").alias("time"), F.col("value").alias("rain"))
+    return plain(jobs.drain(jobs.river_with_hourly_weather(readings(spark, sf), weather), "hourly-join"))
+
+
 @query("st8_stream_smooth", """WITH RECURSIVE g AS (SELECT event_type AS station, ts AS time, CASE WHEN value >= 10 THEN value - 5 END AS value, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn FROM events),
 e AS (SELECT station, rn, time, value, value AS y, value AS last, 1.0::DOUBLE AS w FROM g WHERE rn = 1
  UNION ALL SELECT e.station, g.rn, g.time, g.value,
@@ -118,3 +128,17 @@ def st8_stream_smooth(spark, sf):
     """ST8: running weighted mean with span 24 and last known value, as keyed state."""
     rows = readings(spark, sf).withColumn("value", F.when(F.col("value") >= 5, F.col("value"))).select("station", "time", "value")
     return plain(jobs.drain(jobs.online_smooth(rows), "smooth"))
+
+
+@query("st8_stream_smooth_timed", f"""WITH RECURSIVE g AS (SELECT event_type AS station, ts AS time, CASE WHEN value >= 10 THEN value - 5 END AS value, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn
+ FROM events WHERE time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= {MARK}),
+e AS (SELECT station, rn, time, value, value AS y, value AS last, 1.0::DOUBLE AS w FROM g WHERE rn = 1
+ UNION ALL SELECT e.station, g.rn, g.time, g.value,
+  CASE WHEN e.y IS NULL THEN g.value WHEN g.value IS NULL THEN e.y ELSE (e.w * 0.92 * e.y + 0.08 * g.value) / (e.w * 0.92 + 0.08) END,
+  coalesce(g.value, e.last), CASE WHEN e.y IS NULL OR g.value IS NOT NULL THEN 1.0 ELSE e.w * 0.92 END
+ FROM e JOIN g ON g.station = e.station AND g.rn = e.rn + 1)
+SELECT station, time, round(value + 1e-9, 6) AS value, round(last + 1e-9, 6) AS last_known, round(y + 1e-9, 6) AS smooth, false AS late FROM e""")
+def st8_stream_smooth_timed(spark, sf):
+    """ST8 in event-time order by timers: every reading of a closed hour, whatever the order of arrival."""
+    rows = readings(spark, sf).withColumn("value", F.when(F.col("value") >= 5, F.col("value"))).select("station", "time", "value")
+    return plain(jobs.drain(jobs.timed_smooth(rows), "timed-smooth"))

@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.numeric import non_negative, number_or_null
@@ -109,6 +111,23 @@ def river_with_weather(river: DataFrame, weather: DataFrame, lateness: str = "1
         "station", "time", "value", "rain")
 
 
+def river_with_hourly_weather(river: DataFrame, weather: DataFrame, lateness: str = "1 hour") -> DataFrame:
+    """Each reading with the mean rain of its station and hour: a windowed aggregate of one stream feeds a join with the other.
+
+    An hour leaves the aggregate once, when the watermark has passed it, so a reading is joined with one row at most
+    and never with the weather rows themselves. Both join keys carry event time: readings whose hour cannot come any more leave the state.
+    """
+    hourly = (
+        weather.withWatermark("time", lateness).groupBy(F.window("time", "1 hour").alias("hour"), "station")
+        .agg(F.avg("rain").alias("rain"), F.count("rain").alias("n_rain"))
+        .select("hour", F.col("station").alias("w_station"), "rain", "n_rain")
+    )
+    at = F.timestamp_micros(F.unix_micros("time")).alias("time")  # a stream may have one event time only: its hour
+    placed = river.withWatermark("time", lateness).select("station", at, "value", F.window("time", "1 hour").alias("hour"))
+    return placed.join(hourly, (placed["hour"] == hourly["hour"]) & (F.col("station") == F.col("w_station"))).select(
+        "station", "time", "value", "rain", "n_rain")
+
+
 SMOOTH = T.StructType([
     T.StructField("station", T.StringType()), T.StructField("time", T.TimestampType()), T.StructField("value", T.DoubleType()),
     T.StructField("last_known", T.DoubleType()), T.StructField("smooth", T.DoubleType()),
@@ -139,3 +158,83 @@ def online_smooth(readings: DataFrame, span: int = 24) -> DataFrame:
                             "last_known": known, "smooth": smooth})
 
     return readings.groupBy("station").applyInPandasWithState(update, SMOOTH, SMOOTH_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+HOUR_MICROS = 3_600_000_000
+ROCKS_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+TIMED_SMOOTH = "station string, at bigint, value double, last_known double, smooth double, late boolean"
+
+
+def folded(values: np.ndarray, now: tuple, alpha: float) -> tuple[list, list, tuple]:
+    """Weighted means and last known values along ``values`` from the state (mean, weight, last known), and the state after them."""
+    y, w, last = now
+    smooth, known = [], []
+    for x in values:
+        w = w * (1 - alpha)
+        if x == x:
+            y = x if y is None else (w * y + alpha * x) / (w + alpha)
+            w, last = 1.0, float(x)
+        smooth.append(y)
+        known.append(last)
+    return smooth, known, (None if y is None else float(y), float(w), last)
+
+
+class InTimeOrder(StatefulProcessor):
+    """Readings of a station wait, by hour, until the watermark has passed their hour; a timer then folds the hour in time order into three numbers.
+
+    Input is taken chunk by chunk, so no more than a chunk and an hour of a station is in memory at once. A reading
+    whose hour is over already cannot be folded in order: it comes out at once, marked late.
+    """
+
+    def __init__(self, span: int):
+        self.alpha = 2.0 / (span + 1.0)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.now = handle.getValueState("now", "y double, w double, last double")
+        self.waiting = handle.getMapState("waiting", "hour long", "at array<bigint>, value array<double>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        over = timerValues.getCurrentWatermarkInMs() * 1000 // HOUR_MICROS
+        for chunk in rows:
+            at, value = chunk["at"].to_numpy(dtype=np.int64), chunk["value"].to_numpy(dtype=float)
+            hours = at // HOUR_MICROS
+            for hour in np.unique(hours[hours >= over]).tolist():
+                own = hours == hour
+                times, values = at[own].tolist(), [None if x != x else x for x in value[own].tolist()]
+                if self.waiting.containsKey((hour,)):
+                    before = self.waiting.getValue((hour,))
+                    times, values = list(before[0]) + times, list(before[1]) + values
+                else:
+                    self.handle.registerTimer((hour + 1) * (HOUR_MICROS // 1000))
+                self.waiting.updateValue((hour,), (times, values))
+            late = hours < over
+            if late.any():
+                yield pd.DataFrame({"station": key[0], "at": at[late], "value": value[late], "last_known": None, "smooth": None, "late": True})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        hour = expiredTimerInfo.getExpiryTimeInMs() * 1000 // HOUR_MICROS - 1
+        times, values = self.waiting.getValue((hour,))
+        self.waiting.removeKey((hour,))
+        at, value = np.array(times, dtype=np.int64), np.array(values, dtype=float)
+        order = np.argsort(at, kind="stable")
+        smooth, known, after = folded(value[order], tuple(self.now.get()) if self.now.exists() else (None, 1.0, None), self.alpha)
+        self.now.update(after)
+        yield pd.DataFrame({"station": key[0], "at": at[order], "value": value[order], "last_known": known, "smooth": smooth, "late": False})
+
+    def close(self) -> None:
+        pass
+
+
+def timed_smooth(readings: DataFrame, span: int = 24, lateness: str = "1 hour") -> DataFrame:
+    """Running weighted mean and last known value per station in event-time order, hour by hour as the watermark passes;
+    late readings come out unsmoothed and marked ``late``. Rows without a station or a time are left out.
+
+    The state lives in RocksDB, which timers need. The operator is given the time as a plain number: late rows would
+    otherwise be dropped before they reach it.
+    """
+    readings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_STATE)
+    rows = readings.filter("station is not null and time is not null").withWatermark("time", lateness).select(
+        "station", F.unix_micros("time").alias("at"), "value")
+    out = rows.groupBy("station").transformWithStateInPandas(InTimeOrder(span), TIMED_SMOOTH, "Append", "eventTime")
+    return out.select("station", F.timestamp_micros("at").alias("time"), "value", "last_known", "smooth", "late")

@@ -66,3 +66,31 @@ def test_smoothing_carries_state(spark, tmp_path):
     want = pd.Series(values).ewm(span=3, adjust=False).mean()
     np.testing.assert_allclose(out["smooth"], want)
     assert out["last_known"].tolist() == pytest.approx(pd.Series(values).ffill().tolist())
+
+
+def test_timed_smoothing_follows_event_time(spark, tmp_path):
+    """Batches arrive out of order; hours fold in order once the watermark has passed them, and what comes later is marked."""
+    folder = str(tmp_path / "in")
+    land(spark, folder, [
+        [("a", "2024-01-01 00:50", 3.0), ("a", "2024-01-01 00:10", 1.0), ("b", "2024-01-01 00:20", 7.0), ("a", "2024-01-01 01:30", 5.0)],
+        [("a", "2024-01-01 00:30", None), ("a", "2024-01-01 01:10", 2.0), ("b", "2024-01-01 06:00", 1.0)],
+        [("a", "2024-01-01 00:40", 9.0), ("a", "2024-01-01 08:00", 4.0), ("b", "2024-01-01 04:00", 8.0)],
+        [("b", "2024-01-01 20:00", 0.0)],
+    ])
+    out = jobs.drain(jobs.timed_smooth(stream(spark, folder), span=3, lateness="1 hour"), "timed", str(tmp_path / "out"))
+    rows = [(r["station"], f"{r['time']:%H:%M}", r["value"], r["last_known"], r["smooth"], r["late"]) for r in out.collect()]
+    want = pd.Series([1.0, None, 3.0, 2.0, 5.0, 4.0]).ewm(span=3, adjust=False).mean().tolist()
+    times = ["00:10", "00:30", "00:50", "01:10", "01:30", "08:00"]
+    a = sorted(r for r in rows if r[0] == "a" and not r[5])
+    assert [r[1] for r in a] == times and [r[4] for r in a] == pytest.approx(want) and [r[3] for r in a] == [1.0, 1.0, 3.0, 2.0, 5.0, 4.0]
+    assert sorted(r for r in rows if r[5]) == [("a", "00:40", 9.0, None, None, True), ("b", "04:00", 8.0, None, None, True)]
+    assert sorted((r[1], r[4]) for r in rows if r[0] == "b" and not r[5]) == [("00:20", 7.0), ("06:00", 4.0)]
+
+
+def test_a_reading_meets_one_hour_of_weather(spark, tmp_path):
+    river, weather = str(tmp_path / "river"), str(tmp_path / "weather")
+    land(spark, river, [[("a", "2024-01-01 00:10", 1.0), ("a", "2024-01-01 00:40", 2.0), ("b", "2024-01-01 00:40", 3.0)], [("a", "2024-01-01 09:00", 4.0)]])
+    land(spark, weather, [[("a", f"2024-01-01 00:{m}", float(m)) for m in range(10, 30)], [("a", "2024-01-01 09:30", 1.0), ("a", "2024-01-01 00:59", 5000.0)]])
+    rain = stream(spark, weather).withColumnRenamed("value", "rain")
+    out = jobs.drain(jobs.river_with_hourly_weather(stream(spark, river), rain), "joined", str(tmp_path / "out"))
+    assert len(out.collect()) == 2 and {(r["value"], r["n_rain"] >= 20) for r in out.collect()} == {(1.0, True), (2.0, True)}
