@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .blocks import epoch_micros, names
 from .decompose import decompose
 from .grid import MAX_SLOTS, on_grid
-from .lowess import lowess, neighbours
+from .lowess import PASSES, lowess, neighbours
 
 OK, NO_SERIES = "ok", "no_series"
 
@@ -87,7 +87,7 @@ def decomposed(df: DataFrame, period: int, key="station", value: str = "value",
     return Outcome(decompose(sound_rows(df, status, key, time, observation), period, key, value, time, model, extrapolate), status)
 
 
-def smoothed(df: DataFrame, frac: float, x: str = "x", y: str = "value", key="station", order: str = "time", passes: int = 0,
+def smoothed(df: DataFrame, frac: float, x: str = "x", y: str = "value", key="station", order: str = "time", passes: int = PASSES,
              observation: Observation | None = None) -> Outcome:
     """``lowess`` for the series whose local fits hold two points or more (else ``too_short``)."""
     known = F.count_if(F.col(order).isNotNull() & F.col(y).isNotNull())

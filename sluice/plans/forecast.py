@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import math
 from abc import ABC, abstractmethod
+from collections import deque
 
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -94,7 +97,7 @@ class SeasonalAR(SeriesModel):
     """Autoregression of the series differenced by one step and one season, on its lags 1 and season.
 
     The 2 x 2 normal equations of every station are sums of one aggregate. The forecast recursion
-    needs the last 2·season+2 values of a station only, folded over the horizon in one short array.
+    needs the last 2·season+2 values of a station only (``forecast_path``).
     """
 
     def __init__(self, season: int = SEASON, value: str = "value", key: str = "station", time: str = "time"):
@@ -138,25 +141,40 @@ class SeasonalAR(SeriesModel):
         return self
 
     def predict(self, test: DataFrame) -> DataFrame:
-        m = self.season
         horizon = test.groupBy(self.key).agg((F.max("rn") - F.min("rn") + 1).alias("_h"))
+        made = forecast_path(self.state.join(horizon, self.key), self.key, self.season)
+        return test.join(made, [self.key, "rn"])
 
-        def back(ys, k):
-            return F.element_at(ys, -k)
-
-        def diff_at(ys, k):
-            """Differenced value k steps back from the next one."""
-            return back(ys, k) - back(ys, k + 1) - back(ys, k + m) + back(ys, k + m + 1)
 
-        def grow(ys, _):
-            w = F.col("phi") * diff_at(ys, 1) + F.col("seasonal_phi") * diff_at(ys, m)
-            return F.concat(ys, F.array(back(ys, 1) + back(ys, m) - back(ys, m + 1) + w))
+def forecast_path(state: DataFrame, key: str, season: int, chunk: int = 10_000) -> DataFrame:
+    """(key, rn, prediction) for ``_h`` steps after ``_end``, from the last values ``_ys`` and the coefficients of each series.
 
-        path = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.col("_h")), F.col("_ys"), grow)
-        ahead = F.slice(path, F.size("_ys") + 1, F.col("_h").cast("int"))
-        made = self.state.join(horizon, self.key).select(self.key, "_end", F.posexplode(ahead).alias("_i", "prediction"))
-        made = made.select(self.key, (F.col("_end") + F.col("_i") + 1).alias("rn"), "prediction")
-        return test.join(made, [self.key, "rn"])
+    The next value is a fixed combination of the last 2·season+2 ones, which is all a series holds; steps are handed on
+    in chunks as they are made, so time is linear in the horizon and memory does not depend on it. A series with too few or unknown last
+    values, or without coefficients, has no predictions.
+    """
+    lags = (1, 2, season, season + 1, season + 2, 2 * season, 2 * season + 1)
+    kind = state.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for name, ys, end, phi, seasonal_phi, steps in zip(*(c.to_pylist() for c in batch.columns)):
+                known = [math.nan if v is None else v for v in ys][-2 * season - 2:]
+                last = deque([math.nan] * (2 * season + 2 - len(known)) + known, maxlen=2 * season + 2)
+                p, q = (math.nan if v is None else v for v in (phi, seasonal_phi))
+                weights = (1 + p, -p, 1 + q, -1 - p - q, p, -q, q)
+                for start in range(0, steps, chunk):
+                    size = min(chunk, steps - start)
+                    out = []
+                    for _ in range(size):
+                        last.append(sum(w * last[-k] for w, k in zip(weights, lags)))
+                        out.append(last[-1])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * size, batch.schema.field(0).type), pa.array(range(end + start + 1, end + start + size + 1), pa.int64()),
+                         pa.array(out, pa.float64(), from_pandas=True)], [key, "rn", "prediction"])
+
+    rows = state.select(key, "_ys", F.col("_end").cast("long"), "phi", "seasonal_phi", F.col("_h").cast("long"))
+    return rows.mapInArrow(run, f"`{key}` {kind}, rn long, prediction double")
 
 
 class TreeModel(SeriesModel):

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.blocks import DAY, HOUR
-from ..operators.clean import keep_first
 from ..operators.grid import bucket
 from ..session import prepare
 
@@ -76,8 +75,8 @@ def users(spark, sf) -> DataFrame:
 
 
 def on_step(df: DataFrame, step: int) -> DataFrame:
-    """First reading of each clock bucket, moved to the bucket start."""
-    return keep_first(df.withColumn("time", bucket("time", step)), ["station", "time"], "event_id").drop("event_id")
+    """Mean reading of each clock bucket, at the bucket start: every reading counts."""
+    return df.groupBy("station", bucket("time", step).alias("time")).agg(F.avg("value").alias("value"))
 
 
 def hourly(spark, sf) -> DataFrame:
@@ -130,13 +129,13 @@ GAUGE = "gauge AS (SELECT event_type AS station, ts AS time, value - 5 AS value,
 USERS = "users AS (SELECT user_id AS station, ts AS time, value - 5 AS value, event_id FROM events)"
 
 
-def first_per(step: str, name: str, src: str = "gauge") -> str:
+def mean_per(step: str, name: str, src: str = "gauge") -> str:
     b = f"time_bucket(INTERVAL '{step}', time)"
-    return (f"{name} AS (SELECT station, {b} AS time, arg_min(value, event_id) AS value FROM {src} GROUP BY 1, 2)")
+    return (f"{name} AS (SELECT station, {b} AS time, avg(value) AS value FROM {src} GROUP BY 1, 2)")
 
 
-HOURLY = GAUGE + ", " + first_per("1 hour", "hourly")
-QUARTER = GAUGE + ", " + first_per("15 minutes", "quarter")
+HOURLY = GAUGE + ", " + mean_per("1 hour", "hourly")
+QUARTER = GAUGE + ", " + mean_per("15 minutes", "quarter")
 
 
 def clock_grid(src: str, name: str, step: str = "15 minutes") -> str:

@@ -144,7 +144,7 @@ def a06_missing_by_weekday(spark, sf):
 
 @query("a06_missing_by_month", _share("month(time)"))
 def a06_missing_by_month(spark, sf):
-    return tidy(gaps.missing_share(quarter(spark, sf), F.month))
+    return tidy(gaps.missing_share(quarter(spark, sf), F.month, cycle="month"))
 
 
 @query("a07_monthly_missingness", """

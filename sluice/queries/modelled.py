@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features, impute
 from ..operators.stats import partial_autocorrelation
-from ..plans import forecast
+from ..plans import forecast, sweep
 from ..session import checkpoint
 from .base import HOURLY, PAIRED, TABLE_BLOCK, clock_grid, hourly, paired, query, tidy
 from .cleaning import CLEANED, SEASONAL
@@ -85,22 +85,22 @@ def training_table(spark, sf):
 
 @query("m03_boosted_trees")
 def m03_boosted_trees(spark, sf):
-    """Boosted trees at the configured depth and rate, 20 rounds here."""
-    model = forecast.TreeModel(TREE_FEATURES, kind="boosted", maxIter=20)
+    """Boosted trees at the configured depth, rate and rounds."""
+    model = forecast.TreeModel(TREE_FEATURES, kind="boosted")
     return tidy(forecast.evaluate(training_table(spark, sf), model, block=TABLE_BLOCK)[0])
 
 
 @query("m04_forest_importance")
 def m04_forest_importance(spark, sf):
     """Random forest and its feature importances."""
-    model = forecast.TreeModel(TREE_FEATURES, kind="forest", numTrees=20)
+    model = forecast.TreeModel(TREE_FEATURES, kind="forest")
     train, _ = forecast.split_tail(training_table(spark, sf), block=TABLE_BLOCK)
     return tidy(model.fit(train).importance())
 
 
 @query("m04_forest_metrics")
 def m04_forest_metrics(spark, sf):
-    model = forecast.TreeModel(TREE_FEATURES, kind="forest", numTrees=20)
+    model = forecast.TreeModel(TREE_FEATURES, kind="forest")
     return tidy(forecast.evaluate(training_table(spark, sf), model, block=TABLE_BLOCK)[0])
 
 
@@ -124,3 +124,18 @@ def c01_pacf(spark, sf):
     """Partial autocorrelations from the three autocorrelations of each station."""
     curve = features.lagged_corr(features.numbered(paired(spark, sf), block=TABLE_BLOCK), "station", "rn", "level", "level", [1, 2, 3])
     return tidy(partial_autocorrelation(curve))
+
+
+@query("m06_length_sweep", f"""WITH {HOURLY}, n AS (SELECT station, value, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY station) AS n, lag(value, 1) OVER w AS x, lag(value, 2) OVER w AS z
+  FROM hourly WINDOW w AS (PARTITION BY station ORDER BY time)),
+p AS (SELECT *, CASE WHEN i < n - 5 * (n // 6) THEN 0 ELSE (i - (n - 5 * (n // 6))) // (n // 6) + 1 END AS part FROM n WHERE value IS NOT NULL AND x IS NOT NULL AND z IS NOT NULL),
+c AS (SELECT station, fold, count(*) AS n_train, avg(value) AS my, avg(x) AS mx, avg(z) AS mz, var_pop(x) AS xx, var_pop(z) AS zz, covar_pop(x, z) AS xz, covar_pop(x, value) AS xy, covar_pop(z, value) AS zy
+  FROM p, range(1, 6) r(fold) WHERE part < fold GROUP BY 1, 2),
+b AS (SELECT station, fold, n_train, 1 AS length, xy / xx AS u, 0.0::DOUBLE AS v, my - xy / xx * mx AS a FROM c
+  UNION ALL SELECT station, fold, n_train, 2, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS u, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS v, my - u * mx - v * mz FROM c)
+SELECT b.station, fold::BIGINT AS fold, length::BIGINT AS length, any_value(n_train) AS n_train, count(*) AS n_test, round(any_value(a) + 1e-9, 6) AS intercept,
+  round(sqrt(avg((value - a - u * x - v * z) ** 2)) + 1e-9, 6) AS rmse
+FROM b JOIN p ON p.station = b.station AND p.part = b.fold GROUP BY 1, 2, 3""")
+def m06_length_sweep(spark, sf):
+    """Fits on the last one and two values for five expanding folds, from one scan."""
+    return tidy(sweep.length_sweep(hourly(spark, sf), [1, 2], 5, block=TABLE_BLOCK).drop("weights"))

@@ -15,6 +15,7 @@ from ..schemas import QUALIFIED_GAUGE
 # File naming of gauge and merged series.
 QUALIFIED_SUFFIX = "-level-15min-Qualified.csv"
 MERGED_PREFIX = "merged_"
+GAUGE_FILE = r"([^/=]+)-level-15min-Qualified\.csv"
 
 
 def _as_text(schema: T.StructType) -> T.StructType:
@@ -48,7 +49,7 @@ def read_qualified(spark: SparkSession, path: str, station: str | None = None) -
         if station and "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"no gauge file for station {station!r} below {path}") from e
         raise
-    rows = raw.withColumn("station", file_key("([^/=]+)" + QUALIFIED_SUFFIX.replace(".", r"\.")))
+    rows = raw.withColumn("station", file_key(GAUGE_FILE))
     if station:
         rows = rows.filter(F.col("station") == station)
     return rows.withColumn("dateTime", F.col("dateTime").cast("timestamp_ntz")).withColumn("date", F.col("date").cast("date"))
@@ -60,8 +61,9 @@ def read_river(spark: SparkSession, path: str, station: str | None = None) -> Da
 
 
 def available_stations(spark: SparkSession, path: str) -> DataFrame:
-    """Station names from the file names; no column of the files is parsed."""
-    return read_qualified(spark, path).select("station").distinct()
+    """Station names from the file names, which are listed; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(path)
+    return files.select(file_key(GAUGE_FILE).alias("station")).filter("station <> ''").distinct()
 
 
 def read_weather(spark: SparkSession, path: str, columns: T.StructType, time: str = "time", keep_station: bool = True) -> DataFrame:

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from sluice.operators import blocks, clean, features, grid, joins, quantiles, stats, status
+from sluice.operators import blocks, clean, features, gaps, grid, joins, quantiles, stats, status
+from sluice.plans import forecast, sweep
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -167,3 +168,103 @@ def test_no_task_sorts_a_crowded_cell(spark, monkeypatch):
     got = quantiles.exact_quantiles(df, "station", "value", {"m": 0.5, "q": 0.25}).first()
     assert sizes and max(sizes) <= quantiles.FIT
     assert got["m"] == pytest.approx(1013 + 499_999.5 / 1e6, abs=1e-12) and got["q"] == pytest.approx(1013 + 249_999.75 / 1e6, abs=1e-12)
+
+
+def slots_of(readings, step):
+    """(times, known) of the anchored grid of one series, laid out."""
+    first, last = min(readings), max(readings)
+    return [(t, readings.get(t) is not None) for t in range(first, last + 1, step)]
+
+
+@pytest.mark.parametrize("step, shift", [(900, 0), (3600, 1234)])
+def test_gap_arithmetic_equals_the_grid(spark, step, shift):
+    rng = random.Random(step)
+    epoch = dt.datetime(1970, 1, 1)
+    base = int((dt.datetime(2023, 12, 29, 21) - epoch).total_seconds()) + shift
+    series = {s: {base + i * step + (7 if rng.random() < 0.1 else 0): rng.choice([None, 1.0, 2.0]) for i in range(n) if rng.random() < 0.6}
+              for s, n in (("a", 6000), ("b", 700), ("c", 5))}
+    series |= {"full": {base + i * step: 1.0 for i in range(9)}, "none": {base: None, base + 3 * step: None}}
+    rows = [(s, epoch + dt.timedelta(seconds=t), v) for s, x in series.items() for t, v in x.items()]
+    df = spark.createDataFrame(rows + [(None, T0, 1.0), ("a", None, 1.0)], "station string, time timestamp_ntz, value double").repartition(3)
+    grids = {s: slots_of(x, step) for s, x in series.items()}
+    got = {r["station"]: (r["n_expected"], r["n_missing"]) for r in gaps.missing_slots(df, step=step).collect()}
+    assert got == {s: (len(g), sum(not k for _, k in g)) for s, g in grids.items()}
+    got = {r["station"]: (r["n_expected"], r["n_missing"]) for r in gaps.missing_steps(df, step=step).collect()}
+    assert got == {s: (len(g), sum(t not in series[s] for t, _ in g)) for s, g in grids.items()}
+    for part, cycle, of in ((F.hour, "week", lambda t: t.hour), (F.weekday, "week", lambda t: t.weekday()), (F.month, "month", lambda t: t.month)):
+        want = {}
+        for s, g in grids.items():
+            cells = {}
+            for t, known in g:
+                cells.setdefault(of(epoch + dt.timedelta(seconds=t)), []).append(not known)
+            if any(map(any, cells.values())):
+                want |= {(s, p): pytest.approx(100 * sum(c) / len(c)) for p, c in cells.items()}
+        assert {(r["station"], r["part"]): r["pct_missing"] for r in gaps.missing_share(df, part, step=step, cycle=cycle, block=3 * 86400).collect()} == want
+    want = set()
+    for s, g in grids.items():
+        run = []
+        for t, known in [*g, (None, True)]:
+            if known and run:
+                want.add((s, run[0], run[-1], len(run)))
+            run = [] if known else [*run, t]
+    seconds = lambda t: int((t - epoch).total_seconds())
+    got = gaps.missing_blocks(df, step=step, block=3 * 86400).collect()
+    assert {(r["station"], seconds(r["start"]), seconds(r["end"]), r["n_rows"]) for r in got} == want and len(got) == len(want)
+
+
+def test_a_wrong_time_costs_nothing(spark):
+    df = spark.createDataFrame([("a", T0, 1.0), ("a", T0 + dt.timedelta(hours=1), 1.0), ("a", dt.datetime(9000, 1, 1), 1.0)], "station string, time timestamp_ntz, value double")
+    n = int((dt.datetime(9000, 1, 1) - T0).total_seconds()) // 900 + 1
+    assert gaps.missing_slots(df).first()["n_missing"] == n - 3
+    assert sorted(r["n_rows"] for r in gaps.missing_blocks(df).collect()) == [3, n - 6]
+    hours = gaps.missing_share(df, F.hour).collect()
+    assert len(hours) == 24 and all(r["pct_missing"] > 99.99 for r in hours)
+    assert len(gaps.missing_share(df, F.month, cycle="month").collect()) == 12
+
+
+def test_a_local_fit_of_unsorted_short_and_equal_points(spark):
+    rows = [("one", 1, 0.0, 5.0), ("same", 1, 2.0, 1.0), ("same", 2, 2.0, 4.0), ("same", 3, 2.0, 7.0)] + [("line", i, float(i), 2.0 * i) for i in range(50)]
+    df = spark.createDataFrame(rows, "station string, time int, x double, value double")
+    got = {(r["station"], r["time"]): r["smooth"] for r in status.lowess(df.repartition(5).withColumn("time", F.timestamp_seconds("time").cast("timestamp_ntz")), 0.9)
+           .withColumn("time", F.unix_seconds(F.col("time").cast("timestamp"))).collect()}
+    assert got["one", 1] is None and [got["same", i] for i in (1, 2, 3)] == [1.0, 4.0, 7.0]
+    assert all(got["line", i] == pytest.approx(2.0 * i) for i in range(50))
+
+
+def test_sweep_equals_separate_fits(spark):
+    rng = np.random.default_rng(5)
+    series = {"a": rng.normal(size=200).cumsum(), "b": rng.normal(size=45), "c": np.array([1.0, 2.0, 3.0])}
+    df = make(spark, {s: [None if s == "a" and i == 30 else v for i, v in enumerate(x)] for s, x in series.items()})
+    lengths, folds = [1, 4, 7], 3
+    got = {(r["station"], r["fold"], r["length"]): r for r in sweep.length_sweep(df, lengths, folds, block=30_000).collect()}
+    for s, x in series.items():
+        n, size = len(x), len(x) // (folds + 1)
+        x = np.where((np.arange(n) == 30) & (s == "a"), np.nan, x)
+        rows = [i for i in range(7, n) if not np.isnan(x[i - 7:i + 1]).any()]
+        for f in range(1, folds + 1):
+            start = n - (folds + 1 - f) * size
+            train, test = [i for i in rows if i < start], [i for i in rows if start <= i < start + size]
+            for k in lengths:
+                if not train or not test:
+                    assert (s, f, k) not in got
+                    continue
+                design = lambda at: np.array([[1, *x[i - k:i][::-1]] for i in at])
+                fit = np.linalg.lstsq(design(train), x[train], rcond=None)[0]
+                r = got[s, f, k]
+                assert (r["n_train"], r["n_test"]) == (len(train), len(test))
+                if len(train) > 12:
+                    assert [r["intercept"], *r["weights"]] == pytest.approx(fit, rel=1e-6, abs=1e-8)
+                    assert r["rmse"] == pytest.approx(np.sqrt(np.mean((design(test) @ fit - x[test]) ** 2)), rel=1e-6)
+    best = {r["station"]: r["length"] for r in sweep.best_length(sweep.length_sweep(df, lengths, folds)).collect()}
+    assert set(best) == {"a", "b"}
+
+
+def test_forecast_of_a_long_horizon(spark):
+    season, n = 4, 100_000
+    state = spark.createDataFrame([("a", [float(i % season) for i in range(2 * season + 2)], 10, 0.3, 0.2, n), ("b", [1.0], 1, 0.1, 0.1, 3),
+                                   ("c", [1.0] * 12, 12, None, 0.1, 2)], "station string, _ys array<double>, _end long, phi double, seasonal_phi double, _h long")
+    got = forecast.forecast_path(state, "station", season).collect()
+    a = {r["rn"]: r["prediction"] for r in got if r["station"] == "a"}
+    assert len(a) == n and all(a[11 + i] == pytest.approx((10 + i) % season, abs=1e-3) for i in range(0, n, 997))
+    assert [(r["rn"], r["prediction"]) for r in got if r["station"] == "b"] == [(2, None), (3, None), (4, None)]
+    assert all(r["prediction"] is None for r in got if r["station"] == "c")
