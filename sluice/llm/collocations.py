@@ -175,6 +175,11 @@ def _summed(tables: list[pa.Table], by: list[str]) -> pa.Table:
     return pa.concat_tables(tables).group_by(by).aggregate([("n", "sum")]).rename_columns([*by, "n"])
 
 
+def _in_order(table: pa.Table):
+    """Batches sorted by text, as neighbours that begin alike take less room in a shuffle."""
+    return table.sort_by([("lang", "ascending"), ("phrase", "ascending")]).combine_chunks().to_batches(max_chunksize=100_000)
+
+
 def _texts_tallied(tables, by: list[str]):
     """Partial sums of ``n``, held up to a number of rows."""
     held, rows = [], 0
@@ -185,10 +190,10 @@ def _texts_tallied(tables, by: list[str]):
             held = [_summed(held, by)]
             rows = held[0].num_rows
             if rows > HELD_TEXTS // 2:
-                yield from held[0].combine_chunks().to_batches(max_chunksize=100_000)
+                yield from _in_order(held[0])
                 held, rows = [], 0
     if held:
-        yield from _summed(held, by).combine_chunks().to_batches(max_chunksize=100_000)
+        yield from _in_order(_summed(held, by))
 
 
 def _keys_tallied(pairs):
@@ -235,15 +240,17 @@ def word_counts(chunks: DataFrame) -> DataFrame:
             .groupBy("lang", "phrase", "key").agg(F.sum("n").alias("n")))
 
 
-def hash_counts(chunks: DataFrame, k: int, parts: np.ndarray) -> DataFrame:
-    """(key, n) of the phrases of ``k`` words whose parts of ``k - 1`` words are in the bitmap ``parts``, by hash."""
+def hash_counts(chunks: DataFrame, k: int, parts: np.ndarray, width: int = 64) -> DataFrame:
+    """(key, n) of the phrases of ``k`` words whose parts of ``k - 1`` words are in the bitmap ``parts``, by the low ``width`` bits of
+    their hash. Fewer bits take less room; phrases that share them only raise each other's counts."""
     shared = chunks.sparkSession.sparkContext.broadcast(parts)
+    low = np.uint64((1 << width) - 1)
 
     def one(c: _Chunks):
         inner = c.within(k - 1, shared.value)
         mask = c.whole(k) & c.owned & inner
         mask[:-1] &= inner[1:]
-        return c.keys(k)[mask], c.counts[mask]
+        return c.keys(k)[mask] & low, c.counts[mask]
 
     def run(batches):
         yield from _keys_tallied(one(c) for c in _each(batches))
@@ -252,21 +259,20 @@ def hash_counts(chunks: DataFrame, k: int, parts: np.ndarray) -> DataFrame:
 
 
 def phrase_counts(chunks: DataFrame, bitmaps: dict[int, np.ndarray]) -> DataFrame:
-    """(lang, phrase, words, n) of the phrases whose hash is in the bitmap of their number of words."""
+    """(lang, phrase, n) of the phrases whose hash is in the bitmap of their number of words."""
     shared = chunks.sparkSession.sparkContext.broadcast(bitmaps)
 
     def some(c: _Chunks):
         for k, bitmap in shared.value.items():
             at = np.flatnonzero(c.within(k, bitmap) & c.owned)
             if len(at):
-                yield pa.table({"lang": c.langs.take(pa.array(c.lang[at])), "phrase": c.texts(at, k),
-                                "words": np.full(len(at), k, dtype=np.int32), "n": c.counts[at]})
+                yield pa.table({"lang": c.langs.take(pa.array(c.lang[at])), "phrase": c.texts(at, k), "n": c.counts[at]})
 
     def run(batches):
-        yield from _texts_tallied((t for c in _each(batches) for t in some(c)), ["lang", "phrase", "words"])
+        yield from _texts_tallied((t for c in _each(batches) for t in some(c)), ["lang", "phrase"])
 
-    return (chunks.select("lang", "chunk", "c").mapInArrow(run, "lang string, phrase string, words int, n long")
-            .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")))
+    return (chunks.select("lang", "chunk", "c").mapInArrow(run, "lang string, phrase string, n long")
+            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_words: int = 3, least: int = 10, share: int = 50,
@@ -286,27 +292,28 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     words = written(word_counts(chunks), "words", compression="zstd")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     # bitmaps of at most 64 MiB, sized by the largest number of phrases that can be frequent
-    most = (words.agg(F.sum("n")).first()[0] or 0) // least
-    bits = 1 << min(29, max(20, (4 * most).bit_length()))
+    total = words.agg(F.sum("n")).first()[0] or 0
+    bits = 1 << min(29, max(20, (4 * total // least).bit_length()))
+    width = min(64, max(32, total.bit_length() + 4))  # of hashes that are counted: most phrases have their own
     known = key_bitmap(words.filter(F.col("n") >= least), "key", bits)
     bitmaps = {}
     for k in range(2, max_words + 1):
-        known = bitmaps[k] = key_bitmap(hash_counts(chunks, k, known).filter(F.col("n") >= least), "key", bits)
-    found = written(phrase_counts(chunks, bitmaps).filter(F.col("n") >= least), "phrases")
+        known = bitmaps[k] = key_bitmap(hash_counts(chunks, k, known, width).filter(F.col("n") >= least), "key", bits)
+    found = phrase_counts(chunks, bitmaps).filter(F.col("n") >= least)
+    found = written(found.withColumn("words", F.size(F.split("phrase", " "))), "phrases")
 
-    part_of = F.split("phrase", " ")
     counts = words.filter(F.col("n") >= least).select("lang", "phrase", "n").union(found.select("lang", "phrase", "n"))
-    cuts = found.select(
-        "lang", "phrase", "words", F.col("n").alias("a"),
-        F.explode(F.expr("sequence(1, words - 1)")).alias("k")).select(
-        "*", F.array_join(F.slice(part_of, 1, F.col("k")), " ").alias("left"),
-        F.array_join(F.slice(part_of, F.col("k") + 1, F.col("words")), " ").alias("right"))
+    part_of, k = F.split("phrase", " "), F.col("k")
     left = counts.select("lang", F.col("phrase").alias("left"), F.col("n").alias("l"))
     right = counts.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r"))
     score = F.expr("cast(a as decimal(15, 0)) * cast(a as decimal(15, 0)) * cast(1000000 as decimal(7, 0))"
                    " div (cast(l as decimal(15, 0)) * cast(r as decimal(15, 0)))")
-    scored = (cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).withColumn("score", score)
-              .groupBy("lang", "phrase", "words", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("s")))
+    scored = (
+        found.select("lang", "phrase", F.col("n").alias("a"), F.explode(F.expr("sequence(1, words - 1)")).alias("k"))
+        .withColumn("left", F.array_join(F.slice(part_of, F.lit(1), k), " ")).join(left, ["lang", "left"])
+        .withColumn("right", F.array_join(F.slice(part_of, k + 1, F.size(part_of)), " ")).join(right, ["lang", "right"])
+        .groupBy("lang", "phrase").agg(F.max("a").alias("a"), F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("s"))
+    )
 
     longer = found.filter("words > 2").select("lang", "words", "n", part_of.alias("w"))
     inner = longer.select("lang", "n", F.explode(F.expr(
