@@ -23,7 +23,7 @@ from . import words as W
 from .common import in_bitmap, key_bitmap, mapped, written
 
 #: One in so many windows ends a chunk; a chunk without any ends after ``LONGEST`` tokens.
-EVERY, LONGEST = 16, 4096
+EVERY, LONGEST = 64, 4096
 #: Partial counts that a task holds before it hands them on.
 HELD_KEYS, HELD_TEXTS = 4_000_000, 1_000_000
 #: Parts into which the phrases of a language are dealt for the first ranking.
