@@ -54,6 +54,27 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(docs: DataFrame, used: list[str], apply: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``apply`` to ``docs`` while all columns but ``used`` travel in one struct, so that their names cannot clash with those an operator works with.
+
+    The result has the columns of ``docs``, then those that ``apply`` adds; an added name that ``docs`` has already gets
+    underscores until it is free.
+    """
+    used = list(dict.fromkeys(used))
+    others = [c for c in docs.columns if c not in used]
+    packed = docs.select(*[F.col(f"`{c}`") for c in used], *(
+        [F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("_others")] if others else []))
+    out = apply(packed)
+    taken, added = set(docs.columns), []
+    for c in out.columns[len(packed.columns):]:
+        name = c
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        added.append(F.col(f"`{c}`").alias(name))
+    return out.select(*[F.col(f"`{c}`") if c in used else F.col("_others")[f"c{others.index(c)}"].alias(c) for c in docs.columns], *added)
+
+
 def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch. Batches are independent, so nothing is held beyond one."""
 

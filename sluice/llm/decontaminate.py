@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import in_bitmap, key_bitmap, mapped, written
+from .common import apart, in_bitmap, key_bitmap, mapped, written
 
 #: Words of a shingle; a window of fewer words is one shingle.
 SHINGLE = 3
@@ -132,7 +132,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` without any hit, with their columns."""
+    """The rows of ``docs`` without any hit, with their columns, whatever the names of further ones."""
+    return apart(docs, [id_col, text_col], lambda d: _without_hits(d, items, id_col, text_col, **kw))
+
+
+def _without_hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, **kw) -> DataFrame:
     bad = contamination(docs, items, id_col, text_col, **kw).filter("n_hit > 0").select(F.col("id").alias("_id"), F.col("k").alias("_k")).distinct()
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_k")), "left_anti")

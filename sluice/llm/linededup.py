@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import apart, written
 
 _BLANK = " \t\n\x0b\f\r"
 #: A line break whose next line has a word. Blank lines thus stay with the line before them.
@@ -90,8 +90,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A run is deleted where the same lines, of at least ``min_words`` words together, occur before: at a smaller id, or
     earlier in the same text. Lines are compared without white space at their ends; blank lines go with the line before them. A
     text without repeats stays as it is; one of which nothing is left becomes empty; null stays null. A repeated row (same id, same text)
-    is the same document, not a copy. A null id sorts first. Other columns stay, whatever their names.
+    is the same document, not a copy. A null id sorts first. Other columns stay, whatever their names; a new column whose name is taken gets
+    an underscore.
     """
+    return apart(docs, [id_col, text_col], lambda d: _without_copies(d, id_col, text_col, min_words))
+
+
+def _without_copies(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     dead = later_copies(docs, id_col, text_col, min_words).withColumnsRenamed({"id": "_id", "k": "_k", "dead": "_dead"})
     t = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.join(dead, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(t) == F.col("_k")), "left").withColumn("_units", _units(t))

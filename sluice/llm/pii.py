@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import apart, written
 
 # Titles, and given and family names by gender and script.
 TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Mme", "Señora", "г-жа"], "m": ["Mr", "Herr", "Monsieur", "Señor", "г-н"]}
@@ -151,9 +151,14 @@ def _shaped() -> Column:
 def pseudonymized(docs: DataFrame, secret: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with surrogates in the text, and n_<kind> for every kind.
 
-    A null text stays null, a text without mentions as it is; other columns stay, whatever their names. The same entity has the same
-    surrogate in every row; repeated rows (same id, same text) get equal texts. The secret decides the surrogates and is not in the result.
+    A null text stays null, a text without mentions as it is; other columns stay, whatever their names (a new column whose name is taken gets
+    an underscore). The same entity has the same surrogate in every row; repeated rows (same id, same text) get equal texts. The
+    secret decides the surrogates and is not in the result.
     """
+    return apart(docs, [id_col, text_col], lambda d: _replaced(d, secret, id_col, text_col))
+
+
+def _replaced(docs: DataFrame, secret: str, id_col: str, text_col: str) -> DataFrame:
     found = written(mentions(docs, id_col, text_col), "mentions")
     entities = found.select("kind", "norm").distinct()
     named = found.join(surrogates(entities, secret), ["kind", "norm"]).select("id", "k", "i", "kind", _shaped().alias("s"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import apart, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Cells per unit of a ratio in a sketch.
@@ -143,5 +143,6 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
-    return judged(written(measured(docs, text_col), "measures"), lang_col, source_col).filter("kept").select(*docs.columns)
+    """The rows of ``docs`` that are kept, with their columns, whatever the names of further ones."""
+    return apart(docs, [text_col, lang_col, source_col], lambda d: judged(
+        written(measured(d, text_col), "measures"), lang_col, source_col).filter("kept").select(*d.columns))

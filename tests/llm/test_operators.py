@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import attribution, decontaminate, jaccard, licenses, linededup, packing, pii, quality, template, urlrules
 from sluice.llm.common import ready
@@ -370,3 +371,33 @@ def test_pipeline_near_duplicates(session):
             root = [low if x == high else x for x in root]
     got = corpus_pipeline.near_duplicates(session, session.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long"), "")
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(root))
+
+
+CLASHES = ["_id", "_k", "_s", "_t", "_n", "_lang", "_source", "_words", "_lines", "_units", "_dead", "_rest", "_others", "_symbols_high", "n_words", "n_lines",
+           "n_removed", "n_email", "kept", "base_failed", "id", "k", "dead", "component_id", "word_chars", "n_hit", "items"]
+
+
+def test_names_of_further_columns_do_not_matter(session, docs, small):
+    """Every operator that keeps columns, and every stage, with columns named like their own."""
+    import corpus_pipeline
+
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    clashing = plain.select("*", *[F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHES])
+    items = session.createDataFrame([(1, "w1 w2 w3")], "item_id long, text string")
+
+    def same(apply):
+        want, got = apply(plain), apply(clashing)
+        assert got.columns[:len(clashing.columns)] == clashing.columns
+        assert collections.Counter(map(repr, want.select(plain.columns).collect())) == collections.Counter(map(repr, got.select(plain.columns).collect()))
+        for r in got.collect():
+            assert all(r[c] == f"{c} {'none' if r['doc_id'] is None else r['doc_id']}" for c in CLASHES)
+        return want, got
+
+    same(quality.quality_filter)
+    same(lambda d: decontaminate.decontaminated(d, items))
+    want, got = same(linededup.dedup_lines)
+    assert got.columns[-2:] == ["n_lines_", "n_removed_"] and want.columns[-2:] == ["n_lines", "n_removed"]
+    same(lambda d: pii.pseudonymized(d, "secret"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        same(lambda d: stage(session, d, small))
+    assert corpus_pipeline.STAGES[-1][1](session, clashing, small).count() == corpus_pipeline.STAGES[-1][1](session, plain, small).count()
