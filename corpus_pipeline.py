@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import decontaminate, jaccard, linededup, packing, quality
-from sluice.llm.common import ready, table, written
+from sluice.llm.common import apart, ready, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,18 +18,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated line runs; a document of which nothing is left goes."""
     ready(spark)
-    out = linededup.dedup_lines(docs).filter("n_removed = 0 or text <> ''")
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+    def shortened(part: DataFrame) -> DataFrame:
+        out = linededup.dedup_lines(part).filter("n_removed = 0 or text <> ''")
+        return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*part.columns)
+
+    return apart(docs, ["doc_id", "text", "n_chars"], shortened)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near copies: five-word shingles, similarity 0.8 or more. Documents without an id stay, unless near one that has an
     id; of repeated rows one stays."""
     ready(spark)
-    groups = written(jaccard.near_duplicates(docs, k=5, percent=80), "groups")
+    groups = written(jaccard.near_duplicates(docs.select("doc_id", "text"), k=5, percent=80), "groups")
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    kept = docs.join(first.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]) if first.count() > first.distinct().count() else kept
+    repeated = first.count() > first.distinct().count()
+
+    def one_of_each(part: DataFrame) -> DataFrame:
+        kept = part.join(first.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+
+    return apart(docs, ["doc_id", "text"], one_of_each)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
