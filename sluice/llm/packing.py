@@ -11,6 +11,7 @@ unpacked pieces that fill the widened gap more tightly (best two fit).
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 
 from .common import mapped, written
 
-#: Words whose ids a Python worker remembers; beyond this it starts anew.
-CACHE_WORDS = 1_000_000
+#: Words whose ids a Python worker remembers; beyond this it starts anew. Words encoded at once: their encodings take far more room than ids.
+CACHE_WORDS, WORDS_AT_ONCE = 150_000, 4096
 #: Texts encoded at once, in bytes.
-PIECE_BYTES = 1 << 23
+PIECE_BYTES = 1 << 21
 #: This kind of tokenizer always cuts between a Latin letter and one of these, so a blank may be put there: words then recur
 #: more often. (Not before an apostrophe, which may begin a contraction.)
 _AFTER_LETTER = np.isin(np.arange(256), np.frombuffer(b'.,;:!?%&*$#|)]}"', dtype=np.uint8))
@@ -42,6 +43,7 @@ class Encoder:
     words, and a word met before is not encoded again."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and each thread would keep memory of its own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -57,7 +59,8 @@ class Encoder:
         if len(self.known) + len(words) > CACHE_WORDS and self.known:
             self.forget()
             return False
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        ids = [e.ids for i in range(0, len(words), WORDS_AT_ONCE)
+               for e in self.tokenizer.encode_batch_fast(words[i:i + WORDS_AT_ONCE], add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         n, total = len(self.known), int(lengths.sum())
         while self.used + total > len(self.pool):
@@ -143,6 +146,7 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"])
+        pa.default_memory_pool().release_unused()
 
     return mapped(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")), run,
                   "id long, piece int, start long, length long, ids_crc32 long")
