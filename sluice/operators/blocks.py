@@ -247,17 +247,19 @@ def runs(df: DataFrame, key, order, label: str, time: str = "time") -> DataFrame
     return pieces.filter(~border).select(*out).unionByName(joined.select(*out))
 
 
-def affine_scan(df: DataFrame, key, pos: str, maps: list[tuple[str, str]], rows: int = 256, fan: int = 2048) -> DataFrame:
+def affine_scan(df: DataFrame, key, pos: str, maps: list[tuple[str, str]], rows: int = 256, fan: int = 2048,
+                longest: int | None = None) -> DataFrame:
     """Run the recursions ``y = a*y + b`` of a series along ``pos`` (dense, from 0 or 1), started at zero.
 
     Afterwards each ``b`` column holds y at the row; the ``a`` columns are dropped. Slopes must lie in
     [1e-60, 1] and fall no faster than 1/3 per row on average, so that the running product of one
     short stretch stays a normal number. Inside a stretch y = P * (y0 + sum(b/P)) with two window
     sums for all recursions at once; the stretch totals are chained by ``_stretch_starts``, over as many
-    levels as the longest series needs: its length is read first, as one number.
+    levels as the longest series needs: its last position is read first, unless the caller knows ``longest``.
     """
     keys = names(key)
-    longest = df.agg(F.max(pos)).first()[0] or 0
+    if longest is None:
+        longest = df.agg(F.max(pos)).first()[0] or 0
     levels, stretches = 1, longest // rows + 1
     while stretches > fan:
         levels, stretches = levels + 1, -(-stretches // fan)

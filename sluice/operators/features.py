@@ -125,7 +125,8 @@ def ewma(df: DataFrame, key, pos: str, specs: dict[str, tuple[str, int]], rows:
         made[f"_b{i}"] = F.when(x.isNull(), F.lit(0.0)).when(prev.isNull(), x).otherwise(F.lit(alpha) * x / (old + alpha))
         maps.append((f"_a{i}", f"_b{i}"))
     if maps:
-        out = affine_scan(out.withColumns(made), keys, pos, maps, rows, fan)
+        longest = df.agg(F.max(pos)).first()[0] or 0  # of the input, before the carries are planned
+        out = affine_scan(out.withColumns(made), keys, pos, maps, rows, fan, longest)
     smooth = {
         name: F.when(F.col(c).isNotNull() | F.col(f"_p_{c}").isNotNull(), F.col(f"_b{i}"))
         for i, (name, (c, span)) in enumerate(specs.items()) if span != 1
