@@ -23,9 +23,13 @@ def readings(spark, sf):
         F.col("event_type").alias("station"), F.col("ts").cast("timestamp").alias("time"), (F.col("value") - 5).alias("value"), "event_id")
 
 
-def plain(df):
+def naive(df):
     """Timestamps back to naive UTC."""
-    return tidy(df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.typeName() == "timestamp" else f.name for f in df.schema.fields]))
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.typeName() == "timestamp" else f.name for f in df.schema.fields])
+
+
+def plain(df):
+    return tidy(naive(df))
 
 
 MARK = "(SELECT max(ts) - INTERVAL '1 hour' FROM events)"
@@ -101,10 +105,12 @@ def st6_stream_alerts(spark, sf):
 @query("st7_stream_join", """WITH w AS (SELECT event_type AS station, time_bucket(INTERVAL '1 hour', ts) AS h, value AS rain FROM events)
 SELECT event_type AS station, ts AS time, round(value - 5 + 1e-9, 6) AS value, round(rain + 1e-9, 6) AS rain FROM events JOIN w ON w.station = event_type AND w.h = time_bucket(INTERVAL '1 hour', ts)""")
 def st7_stream_join(spark, sf):
-    """ST7: readings joined with all weather rows of their station and hour, both as streams."""
+    """ST7: readings joined with all weather rows of their station and hour, both as streams.
+
+    The values are rounded before the join, once a row and not once a pair."""
     weather = events_stream(spark, sf).select(
         F.col("event_type").alias("station"), F.col("ts").cast("timestamp").alias("time"), F.col("value").alias("rain"))
-    return plain(jobs.drain(jobs.river_with_weather(readings(spark, sf), weather), "join"))
+    return naive(jobs.laid_out(jobs.drain(jobs.river_with_weather(tidy(readings(spark, sf)), tidy(weather)), "join")))
 
 
 @query("st7_stream_hourly_join", f"""WITH w AS (SELECT event_type AS station, time_bucket(INTERVAL '1 hour', ts) AS h, avg(value) AS rain, count(*) AS n_rain FROM events GROUP BY 1, 2)

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,15 +103,74 @@ def threshold_alerts(readings: DataFrame, stations: DataFrame, high: str = "perc
     )
 
 
+#: Rows of one station and hour in a pack at most, and rows a task holds while it packs.
+PACK = 4096
+HELD = 500_000
+
+
+def packed(rows: DataFrame, columns: list[str], size: int = PACK, held: int = HELD) -> DataFrame:
+    """Rows of a station and hour gathered into arrays of at most ``size``, one per column. Rows without a station or
+    an hour, which no join on them keeps, are left out.
+
+    The rows are placed by station and hour first, and a task gathers ``held`` of them at a time, so an hour makes few
+    packs and what a task holds does not grow with it.
+    """
+    types = dict(rows.dtypes)
+    names = ["station", "hour", *columns]
+
+    def gathered(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches).sort_by([("station", "ascending"), ("hour", "ascending")]).combine_chunks()
+        station, hour = table.column("station").chunk(0), table.column("hour").chunk(0)
+        code, at = station.dictionary_encode().indices.to_numpy(), hour.to_numpy()
+        heads = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (at[1:] != at[:-1])])
+        place = np.arange(len(at)) - np.repeat(heads, np.diff(np.r_[heads, len(at)]))
+        cuts = np.flatnonzero(place % size == 0)
+        ends = pa.array(np.r_[cuts, len(at)], pa.int32())
+        arrays = [pa.ListArray.from_arrays(ends, table.column(c).chunk(0)) for c in columns]
+        return pa.RecordBatch.from_arrays([station.take(pa.array(cuts)), hour.take(pa.array(cuts)), *arrays], names)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, n = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kept.append(batch)
+            n += batch.num_rows
+            if n >= held:
+                yield gathered(kept)
+                kept, n = [], 0
+        if kept:
+            yield gathered(kept)
+
+    placed = rows.filter("station is not null and hour is not null").repartition("station", "hour").select(
+        "station", F.unix_micros("hour").alias("hour"), *columns)
+    out = placed.mapInArrow(pack, "station string, hour bigint, " + ", ".join(f"`{c}` array<{types[c]}>" for c in columns))
+    return out.withColumn("hour", F.timestamp_micros("hour"))
+
+
 def river_with_weather(river: DataFrame, weather: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Stream-stream join on station and hour, both sides bounded by their watermark."""
-    r = river.withColumn("hour", F.date_trunc("hour", "time")).withWatermark("hour", lateness)
-    w = weather.withColumn("hour", F.date_trunc("hour", "time")).withWatermark("hour", lateness).select(
+    """Stream-stream join on station and hour, both sides bounded by their watermark; ``laid_out`` makes rows of the result.
+
+    Every reading meets every weather row of its hour, so the pairs grow with the square of an hour's rows. The streams
+    are joined pack by pack: the state and the rows written hold each reading once per pack of the other side, and
+    the pairs themselves are never written or shuffled.
+    """
+    r = river.withColumn("hour", F.date_trunc("hour", "time")).withColumn("time", F.unix_micros("time"))
+    w = weather.withColumn("hour", F.date_trunc("hour", "time"))
+    r = packed(r, ["time", "value"]).withWatermark("hour", lateness)
+    w = packed(w, ["rain"]).withWatermark("hour", lateness).select(
         F.col("station").alias("w_station"), F.col("hour").alias("w_hour"), F.col("rain"))
     return r.join(w, (F.col("station") == F.col("w_station")) & (F.col("hour") == F.col("w_hour"))).select(
         "station", "time", "value", "rain")
 
 
+def laid_out(packs: DataFrame) -> DataFrame:
+    """The pairs (station, time, value, rain) in the joined packs of ``river_with_weather``."""
+    reading = F.explode(F.arrays_zip("time", "value")).alias("_r")
+    return packs.select("station", reading, "rain").select(
+        "station", F.timestamp_micros("_r.time").alias("time"), F.col("_r.value").alias("value"), F.explode("rain").alias("rain"))
+
+
 def river_with_hourly_weather(river: DataFrame, weather: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """Each reading with the mean rain of its station and hour: a windowed aggregate of one stream feeds a join with the other.
 

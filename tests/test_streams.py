@@ -94,3 +94,27 @@ def test_a_reading_meets_one_hour_of_weather(spark, tmp_path):
     rain = stream(spark, weather).withColumnRenamed("value", "rain")
     out = jobs.drain(jobs.river_with_hourly_weather(stream(spark, river), rain), "joined", str(tmp_path / "out"))
     assert len(out.collect()) == 2 and {(r["value"], r["n_rain"] >= 20) for r in out.collect()} == {(1.0, True), (2.0, True)}
+
+
+def test_a_crowded_hour_is_joined_in_packs(spark, tmp_path):
+    """300 readings meet 200 weather rows of their hour: all 60,000 pairs come out, and none of them is written."""
+    river, weather = str(tmp_path / "river"), str(tmp_path / "weather")
+    at = lambda i: f"2024-01-01 00:{i // 60 % 60:02}:{i % 60:02}"
+    land(spark, river, [[("a", at(i), float(i)) for i in range(300)] + [("b", "2024-01-01 00:30", None), ("c", "2024-01-01 00:30", 1.0)],
+                        [("a", "2024-01-01 00:59", 1000.0), ("a", "2024-01-01 01:00", 2000.0)]])
+    land(spark, weather, [[("a", at(i), float(i)) for i in range(200)] + [("b", "2024-01-01 00:10", 7.0), ("b", "2024-01-01 00:20", None)]])
+    rain = stream(spark, weather).withColumnRenamed("value", "rain")
+    packs = jobs.drain(jobs.river_with_weather(stream(spark, river), rain), "packs", str(tmp_path / "out"))
+    assert packs.count() <= 10
+    rows = [(r["station"], r["time"].strftime("%H:%M:%S"), r["value"], r["rain"]) for r in jobs.laid_out(packs).collect()]
+    want = [("a", at(i)[11:], float(i), float(j)) for i in range(300) for j in range(200)]
+    want += [("a", "00:59:00", 1000.0, float(j)) for j in range(200)] + [("b", "00:30:00", None, x) for x in (7.0, None)]
+    assert sorted(rows, key=repr) == sorted(want, key=repr)
+
+
+def test_packs_are_cut_at_their_size(spark):
+    rows = spark.range(25).selectExpr("if(id = 24, null, if(id < 10, 'a', 'b')) as station", "timestamp'2024-01-01 00:00:00' as hour",
+                                      "if(id % 5 = 0, null, double(id)) as value").coalesce(1)
+    out = jobs.packed(rows, ["value"], size=4).collect()
+    assert sorted((r["station"], len(r["value"])) for r in out) == [("a", 2), ("a", 4), ("a", 4), ("b", 2), ("b", 4), ("b", 4), ("b", 4)]
+    assert sorted(v for r in out for v in r["value"] if v is not None) == [float(i) for i in range(24) if i % 5]
