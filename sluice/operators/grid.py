@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import DAY, HOUR, attach, epoch_micros, from_micros, names, in_blocks, with_previous
+from .blocks import BLK, BLOCK, DAY, HOUR, attach, epoch_micros, from_micros, names, in_blocks, with_previous, with_row_number
 
 QUARTER_HOUR = 900
 #: More slots than this in one series is taken for a wrong timestamp.
@@ -66,19 +66,24 @@ def one_per_time(df: DataFrame, key, values, time: str = "time") -> DataFrame:
 
 
 def on_grid(df: DataFrame, key, step: int, values="value", anchored: bool = False, time: str = "time",
-            unique: bool = False, max_slots: int = MAX_SLOTS, **extra: Column) -> DataFrame:
+            unique: bool = False, max_slots: int = MAX_SLOTS, repeats: bool = False, block: int = BLOCK, **extra: Column) -> DataFrame:
     """Put each series on its grid; slots without a reading get NULL, off-grid readings are dropped.
 
     ``extra`` are per-series aggregates over all readings carried on every slot. ``unique=True``
-    promises that (key, time) is already unique.
+    promises that (key, time) is already unique. ``repeats=True`` keeps every reading of a repeated time as a row of its
+    own; ``slot`` then counts the rows of the series, the readings of one time in order of their values.
     """
     keys, values = names(key), names(values)
     # the join would filter these rows on its own side only, and the two sides could not share a shuffle
     for c in (*keys, time):
         df = df.filter(F.col(c).isNotNull())
-    readings = df.select(*keys, time, *values) if unique else one_per_time(df, keys, values, time)
+    readings = df.select(*keys, time, *values) if unique or repeats else one_per_time(df, keys, values, time)
     grid = slots(spans(df, keys, time, **extra), keys, step, anchored, time, max_slots)
-    return grid.join(readings, [*keys, time], "left")
+    rows = grid.join(readings, [*keys, time], "left")
+    if not repeats:
+        return rows
+    numbered = with_row_number(in_blocks(rows, keys, time, block), keys, [time, *values])
+    return numbered.withColumn("slot", F.col("rn") - 1).drop("rn", BLK)
 
 
 def bucket(time, step: int) -> Column:

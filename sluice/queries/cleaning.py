@@ -109,8 +109,9 @@ def g01_clock_grid_off_grid_rows(spark, sf):
 
 @query("g02_anchored_grid", f"WITH {GAUGE}, {anchored_grid('gauge', 'grid')} SELECT station, time, slot, round(value + 1e-9, 6) AS value FROM grid")
 def g02_anchored_grid(spark, sf):
-    """G02 on raw times: the grid runs from each station's first reading."""
-    return tidy(grid.on_grid(gauge(spark, sf), "station", 900, anchored=True).drop("n_slots"))
+    """G02 on raw times, repeated ones included: the grid runs from each station's first reading."""
+    out = grid.on_grid(gauge(spark, sf), "station", 900, anchored=True, repeats=True, block=TABLE_BLOCK)
+    return tidy(out.select("station", "time", "slot", "value"))
 
 
 @query("g03_daily_mean", f"""

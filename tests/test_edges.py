@@ -32,6 +32,28 @@ def test_duplicate_times_are_an_error(series):
         grid.on_grid(rows, "station", 900).collect()
 
 
+def test_repeated_times_stay_rows_of_the_grid_when_asked(series):
+    rows = series([("2024-01-01 00:07", 2), ("2024-01-01 00:07", 1), ("2024-01-01 00:22", None), ("2024-01-01 00:22", 5),
+                   ("2024-01-01 00:30", 8), ("2024-01-01 00:52", 9), ("2024-01-01 00:52", 9)])
+    out = grid.on_grid(rows, "station", 900, anchored=True, repeats=True, block=1200).orderBy("slot").collect()
+    assert [(f"{r['time']:%H:%M}", r["slot"], r["value"]) for r in out] == [
+        ("00:07", 0, 1.0), ("00:07", 1, 2.0), ("00:22", 2, None), ("00:22", 3, 5.0), ("00:37", 4, None), ("00:52", 5, 9.0), ("00:52", 6, 9.0)]
+
+
+def test_anchored_grid_query_takes_repeated_times(spark, tmp_path):
+    """Two copies of one station's rows under other ids, against the SQL twin."""
+    import check
+    from sluice.queries import ORACLE, QUERIES
+
+    rows = [(c * 100 + i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), "a", float(i)) for c in range(2) for i, m in enumerate((3, 18, 20, 63))]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, event_type string, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = check.duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    name = "g02_anchored_grid"
+    status, note, _ = check.compare(spark, con, str(tmp_path), name, QUERIES[name], ORACLE[name])
+    assert status == "ok" and note == "8 rows", note
+
+
 def test_grid_length_is_guarded(series):
     rows = series([("1970-01-01", 1), ("2024-01-01", 2)])
     with pytest.raises(PySparkException, match="max_slots"):
