@@ -204,6 +204,24 @@ def test_within_distance_equals_brute_force(spark, ground):
     assert {(r["point_id"], r["station_id"]) for r in out.collect()} == want and want
 
 
+@pytest.mark.parametrize("metres", [300.0, 40_000.0, 9_000_000.0])
+def test_ground_distance_at_poles_and_date_line(spark, metres):
+    """Cells that the circle does not meet are left out; the rest still hold every pair, with the columns asked for."""
+    rng = np.random.default_rng(8)
+    lat = np.concatenate([rng.uniform(-90, 90, 60), 90 - rng.exponential(0.2, 60), rng.normal(0, 0.2, 60), rng.normal(50, 0.002, 60)])
+    lon = np.concatenate([rng.uniform(-180, 180, 120), 180 - rng.exponential(0.2, 30), -180 + rng.exponential(0.2, 30), rng.normal(-5, 0.002, 60)])
+    rows = [(i, float(a), float(b), i * 10) for i, (a, b) in enumerate(zip(lat, lon))]
+    points = spark.createDataFrame(rows[::2], "point_id bigint, lat double, lon double, tag bigint")
+    stations = spark.createDataFrame([r[:3] for r in rows[1::2]], "station_id bigint, lat double, lon double")
+    out = spatial.within_distance(points, stations, metres, ground=True, keep=("tag",)).toPandas()
+    assert (out["tag"] == out["point_id"] * 10).all()
+    p, q = np.radians(lat), np.radians(lon)
+    h = np.sin((p[:, None] - p) / 2) ** 2 + np.cos(p[:, None]) * np.cos(p) * np.sin((q[:, None] - q) / 2) ** 2
+    d = 2 * 6371008.8 * np.arcsin(np.sqrt(np.minimum(h, 1)))
+    want = {(i, j) for i in range(0, 240, 2) for j in range(1, 240, 2) if d[i, j] <= metres}
+    assert set(zip(out["point_id"], out["station_id"])) == want and len(out) == len(want) > 0
+
+
 def test_extrapolated_trend_is_a_line(spark):
     _, df = frame(spark, 2, 100, 0, stations=("a",))
     rows = df.withColumn("value", F.col("slot") * 2.0)
