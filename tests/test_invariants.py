@@ -222,6 +222,24 @@ def test_ground_distance_at_poles_and_date_line(spark, metres):
     assert set(zip(out["point_id"], out["station_id"])) == want and len(out) == len(want) > 0
 
 
+def test_pair_lines_join_no_pairs(spark, tmp_path):
+    """Against the SQL twin; the plan joins points with points and points with stations, but no pairs with either."""
+    import check
+    from sluice.queries import ORACLE, QUERIES
+
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(a), float(b)], i % 10) for i, (a, b) in enumerate(rng.normal(0, 0.1, (200, 2)))]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = check.duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    name = "j13_pair_lines"
+    status, note, _ = check.compare(spark, con, str(tmp_path), name, QUERIES[name], ORACLE[name])
+    assert status == "ok", note
+    plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    above = [i for i, line in enumerate(plan) if "Join" in line]
+    assert "_salt" in plan[above[0]], plan[above[0]]  # the topmost join makes the pairs
+
+
 def test_extrapolated_trend_is_a_line(spark):
     _, df = frame(spark, 2, 100, 0, stations=("a",))
     rows = df.withColumn("value", F.col("slot") * 2.0)
