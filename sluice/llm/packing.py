@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import mapped, written
 
-#: Words whose ids a Python worker remembers; beyond this it starts anew. Words encoded at once: their encodings take far more room than ids.
+#: Words whose ids a Python worker remembers; beyond this it keeps those met again, if they are half of them at most, or starts anew. Words encoded at once: their encodings take far more room than ids.
 CACHE_WORDS, WORDS_AT_ONCE = 150_000, 4096
 #: Texts encoded at once, in bytes.
 PIECE_BYTES = 1 << 21
@@ -32,6 +33,10 @@ _AFTER_LETTER = np.isin(np.arange(256), np.frombuffer(b'.,;:!?%&*$#|)]}"', dtype
 _LETTER = np.isin(np.arange(256), np.arange(ord("a"), ord("z") + 1))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Words of small letters that have no other form: such a word is never cut before its pairs of letters are merged.
+_UNCUT = "^[a-z\u00e0-\u00f6\u00f8-\u00ff]+$"
+#: Words written into one text to be encoded together.
+WORDS_A_TEXT = 256
 #: Texts with this may hold a special token, which neither lower-casing nor blanks may touch.
 _SPECIAL = "<|"
 #: Parts in which pieces of equal length are counted and ranked.
@@ -47,6 +52,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the tokens that end a word, for tokenizers that mark them
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ending = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        if suffix:
+            self.ending[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.forget()
 
     def forget(self):
@@ -54,25 +64,60 @@ class Encoder:
         self.pool = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
         self.starts, self.lengths = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
+        self.again = np.zeros(1 << 12, dtype=bool)
+
+    def _forget_rare(self):
+        """Forget all words but those met again since they were learned or kept."""
+        kept = np.flatnonzero(self.again[:len(self.known)])
+        if len(kept) > CACHE_WORDS // 2:
+            kept = kept[:0]
+        words, lengths = list(self.known), self.lengths[kept]
+        ends = np.cumsum(lengths)
+        ids = self.pool[np.repeat(self.starts[kept] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        self.forget()
+        self._store([words[i] for i in kept], ids, lengths)
 
-    def _learn(self, words: list[str]):
-        if len(self.known) + len(words) > CACHE_WORDS and self.known:
-            self.forget()
-            return False
-        ids = [e.ids for i in range(0, len(words), WORDS_AT_ONCE)
-               for e in self.tokenizer.encode_batch_fast(words[i:i + WORDS_AT_ONCE], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        n, total = len(self.known), int(lengths.sum())
+    def _store(self, words: list[str], ids: np.ndarray, lengths: np.ndarray):
+        n, total = len(self.known), len(ids)
         while self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while n + len(words) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        self.pool[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=total)
+            self.starts, self.lengths, self.again = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.again))
+        self.pool[self.used:self.used + total] = ids
         self.starts[n:n + len(words)] = self.used + np.cumsum(lengths) - lengths
         self.lengths[n:n + len(words)] = lengths
         self.known.update(zip(words, range(n, n + len(words))))
         self.used += total
-        return True
+
+    def _learn(self, words: list[str]):
+        uncut = pc.match_substring_regex(pa.array(words, pa.large_string()), _UNCUT).to_numpy(zero_copy_only=False)
+        together = [w for w, x in zip(words, uncut) if x]
+        apart = [w for w, x in zip(words, uncut) if not x]
+        found = self._together(together) if self.ending.any() else None
+        if found is None:
+            together, apart, found = [], words, self._apart([])
+        self._store(together + apart, *(np.concatenate(x) for x in zip(found, self._apart(apart))))
+
+    def _codes(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of words, each encoded by itself."""
+        ids = [e.ids for i in range(0, len(words), WORDS_AT_ONCE)
+               for e in self.tokenizer.encode_batch_fast(words[i:i + WORDS_AT_ONCE], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(lengths.sum())), lengths
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same for uncut words, many written into one text and told apart by the tokens that end a word; None if they cannot be."""
+        parts = [np.zeros(0, dtype=np.uint32)]
+        for i in range(0, len(words), WORDS_AT_ONCE):
+            some = words[i:i + WORDS_AT_ONCE]
+            texts = [" ".join(some[j:j + WORDS_A_TEXT]) for j in range(0, len(some), WORDS_A_TEXT)]
+            parts += [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(parts)
+        ends = np.flatnonzero(self.ending[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) and (not len(ends) or ends[-1] == len(ids)) else None
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): the ids of text i are ``ids[bounds[i]:bounds[i + 1]]``."""
@@ -84,11 +129,17 @@ class Encoder:
         lists = pc.ascii_split_whitespace(plain)
         flat = lists.flatten().dictionary_encode()
         distinct = flat.dictionary.to_pylist()
-        while True:
-            new = [w for w in distinct if w not in self.known]
-            if not new or self._learn(new):
-                break
-        code = np.fromiter((self.known[w] for w in distinct), dtype=np.int64, count=len(distinct))
+        code = self._codes(distinct)
+        self.again[code[code >= 0]] = True
+        new = np.flatnonzero(code < 0)
+        if len(self.known) + len(new) > CACHE_WORDS and self.known:
+            self._forget_rare()
+            code = self._codes(distinct)
+            new = np.flatnonzero(code < 0)
+        if len(new):
+            words = [distinct[i] for i in new]
+            self._learn(words)
+            code[new] = self._codes(words)
         code = code[flat.indices.to_numpy(zero_copy_only=False)] if len(distinct) else np.zeros(0, dtype=np.int64)
         lengths = self.lengths[code]
         ends = np.cumsum(lengths)

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,6 +179,31 @@ def test_packing(docs, rows):
     assert len(bins) <= -(-sum(r["length"] for r in got) // 256) + 2
 
 
+def test_words_encoded_together():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz\u00e9\u00e8\u00ff"
+    plain = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(300)) for _ in range(20)]
+    odd = ["don't \u0130stanbul stra\u00dfe e\u0301t\u00e9 x\u00b2 \u00aa\u00f7\u00d7 3d", "", None, "<|endoftext|> \u00c9T\u00c9 ab12cd,ef", "\u1100\u1161 \u0100b\u0101"]
+    encoder, whole = packing.Encoder(path), Tokenizer.from_file(path)
+    encoder.tokenizer = counting = Counting(whole)
+    ids, bounds = encoder.encode(pa.array(plain + odd))
+    assert counting.texts < 200  # of some 6000 distinct words
+    want = [e.ids for e in whole.encode_batch([t or "" for t in plain + odd], add_special_tokens=False)]
+    assert [ids[bounds[i]:bounds[i + 1]].tolist() for i in range(len(want))] == want
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(3)
     for _ in range(20):
