@@ -16,14 +16,16 @@ different components, are formed exactly. No link between different components i
 
 from __future__ import annotations
 
+import zlib
+from functools import reduce
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import in_bitmap, key_bitmap, mapped, written
+from .common import BITMAP_BITS, in_bitmap, key_bitmap, mapped, written
 from .components import components
 
 #: Counters of the rarity sketch. Its size is fixed; on more data it only orders shingles less finely.
@@ -62,7 +64,8 @@ def _signatures(hashes: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
 
 
 def profile(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """Per row (id, n, h): size and hash of its shingle set; and per task its shingle counts, in chunks."""
+    """Per row (id, n, h): size and hash of its shingle set; and per task its shingle counts, in chunks. Chunks are compressed, as
+    a task of few rows leaves most counters at zero."""
 
     def run(batches):
         counts, waiting, seen = np.zeros(SKETCH, dtype=np.uint32), [], 0
@@ -93,43 +96,56 @@ def profile(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
                     pa.array([task], pa.int64()), pa.array([c], pa.int32()),
-                    pa.array([counts[c * _CHUNK:(c + 1) * _CHUNK].tobytes()], pa.binary())],
+                    pa.array([zlib.compress(counts[c * _CHUNK:(c + 1) * _CHUNK].tobytes(), 1)], pa.binary())],
                     ["id", "n", "h", "task", "chunk", "counts"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(
         run, "id long, n long, h long, task long, chunk int, counts binary")
 
 
-def _add(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _total(counts) -> np.ndarray:
     total = np.zeros(_CHUNK, dtype=np.uint64)
-    for c in pdf["counts"]:
-        total += np.frombuffer(c, dtype=np.uint32)
-    return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "task": [int(key[1])],
-                         "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+    for c in counts:
+        total += np.frombuffer(zlib.decompress(c.as_py()), dtype=np.uint32)
+    return np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
+
+
+def _added(key, table):
+    """One chunk of the counts of some tasks."""
+    counts = zlib.compress(_total(table["counts"]).tobytes(), 1)
+    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([key[1].as_py()], pa.int64()), "counts": pa.array([counts], pa.binary())})
+
+
+def _classes(key, table):
+    """The classes of one chunk, from the counts of the last tasks."""
+    classes = np.rint(2 * np.log2(_total(table["counts"]) + 1.0)).astype(np.uint8)
+    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([key[1].as_py()], pa.int64()),
+                     "counts": pa.array([classes.tobytes()], pa.binary())})
 
 
 def rarity_classes(chunks: DataFrame) -> np.ndarray:
-    """Class of every counter: about twice the binary logarithm of its count. ``SKETCH`` bytes on the driver."""
-    schema = "chunk int, task long, counts binary"
+    """Class of every counter: about twice the binary logarithm of its count. ``SKETCH`` bytes on the driver. The last merge gives
+    the classes, so that no task runs a second pass of Python behind a merge."""
     parts = chunks.select("chunk", "counts", "task")
     tasks = parts.select("task").distinct().count()
-    while tasks > 1:
-        tasks = -(-tasks // _FAN)
-        parts = parts.withColumn("task", F.pmod(F.xxhash64("task"), F.lit(tasks))).groupBy("chunk", "task").applyInPandas(_add, schema)
-        if tasks > 1:
-            parts = written(parts, "sketch")
-
-    def squeeze(batch):
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([
-            np.rint(2 * np.log2(np.frombuffer(c.as_py(), dtype=np.uint32) + 1.0)).astype(np.uint8).tobytes()
-            for c in batch.column(1)], pa.binary())], ["chunk", "classes"])
-
+    while True:
+        tasks = max(1, -(-tasks // _FAN))
+        parts = parts.withColumn("task", F.pmod(F.xxhash64("task"), F.lit(tasks))).groupBy("chunk", "task").applyInArrow(
+            _added if tasks > 1 else _classes, "chunk int, task long, counts binary")
+        if tasks == 1:
+            break
+        parts = written(parts, "sketch")
     out = np.zeros(SKETCH, dtype=np.uint8)
-    for r in mapped(parts.select("chunk", "counts"), squeeze, "chunk int, classes binary").collect():
-        out[r["chunk"] * _CHUNK:(r["chunk"] + 1) * _CHUNK] = np.frombuffer(bytes(r["classes"]), dtype=np.uint8)
+    for r in parts.select("chunk", "counts").collect():
+        out[r["chunk"] * _CHUNK:(r["chunk"] + 1) * _CHUNK] = np.frombuffer(bytes(r["counts"]), dtype=np.uint8)
     return out
 
 
+def bitmap_bits(keys: int) -> int:
+    """Bits of a bitmap of at most so many keys: 16 to 32 for each, up to ``BITMAP_BITS``."""
+    return min(BITMAP_BITS, 1 << max(18, (16 * keys).bit_length()))
+
+
 def _ordered(hashes, bounds, classes):
     """Shingles of every set by rarity class, then hash; with the set and the position of each."""
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -289,10 +305,10 @@ def _marked(sets: DataFrame, bitmap: np.ndarray) -> DataFrame:
     return mapped(sets, run, "h long, shingles array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, bits: int) -> DataFrame:
     """Pairs (a, b) of classes whose sets are similar enough. Only sets of members of a pair are moved."""
     pairs = written(pairs, "pairs")
-    needed = _marked(sets, key_bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h"))
+    needed = _marked(sets, key_bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", bits))
     a, b = needed.toDF("a", "sa"), needed.toDF("b", "sb")
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"),
                                                   F.size("sa").alias("na"), F.size("sb").alias("nb"))
@@ -329,7 +345,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # prefix shingles that occur twice or more (by 40 of their bits; a clash only lets more through)
     often = (prefix_tokens(docs, id_col, text_col, k, classes, percent)
              .groupBy(F.col("token").bitwiseAND(F.lit((1 << 40) - 1)).alias("token")).agg(F.count("*").alias("c")).filter("c > 1"))
-    bitmap = key_bitmap(often, "token")
+    size = rows.agg(F.count("*").alias("rows"), F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).alias("tokens")).first()
+    bits = bitmap_bits(size["rows"])
+    bitmap = key_bitmap(often, "token", bitmap_bits(int(size["tokens"] or 0) // 2))
     found = shared_prefixes(docs, id_col, text_col, k, classes, percent, bitmap)
     found = written(found.groupBy("h").agg(F.first(F.struct("n", "g", "s", "tokens", "positions")).alias("v")).select("h", "v.*"), "prefixes")
 
@@ -350,34 +368,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _pairs_of_short(inner.filter(F.col("c") <= long_list), percent).select("x_g", "y_g"))
     short = written(_ordered_pairs(short), "pairs")
     lists, within = posts.filter(F.col("c") > long_list).drop("c"), inner.filter(F.col("c") > long_list).drop("c")
-    wanted = short.select(F.explode(F.array("a", "b")).alias("h")).union(within.select("g")).union(
-        members.join(lists.select("g").distinct(), "g").select("h")).distinct()
+    own = written(members.join(lists.select("g").distinct(), "g", "left_semi"), "own")  # the classes of groups in long lists
+    wanted = short.select(F.explode(F.array("a", "b")).alias("h")).union(within.select("g")).union(own.select("h")).distinct()
     wanted = written(rows.join(wanted, "h").groupBy("h").agg(F.min("id").alias("id")), "wanted")
-    sets = written(class_sets(docs, id_col, text_col, k, key_bitmap(wanted, "h"), key_bitmap(wanted, "id")), "sets")
+    sets = written(class_sets(docs, id_col, text_col, k, key_bitmap(wanted, "h", bits), key_bitmap(wanted, "id", bits)), "sets")
     if sets.count() > 1.2 * wanted.count():  # bitmaps that are full let copies through
         sets = written(sets.dropDuplicates(["h"]), "sets")
 
     # members of long lists carry their signatures; a group of several classes has none
-    alone = members.join(lists.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.count("*").alias("c"), F.first("s").alias("s"))
+    alone = own.groupBy("g").agg(F.count("*").alias("c"), F.first("s").alias("s"))
     lists = written(lists.join(alone.select("g", F.when(F.col("c") == 1, F.col("s")).alias("s")), "g"), "lists")
     within = written(within.join(members.select(F.col("h").alias("g"), "s"), "g"), "inner")
-    labels = written(components(_verified(short, sets, percent)), "labels")
+    labels = written(components(_verified(short, sets, percent, bits)), "labels")
     for turn in range(PIVOT_ROUNDS + 1):
-        if not lists.take(1) and not within.take(1):
+        some, some_inner = bool(lists.take(1)), bool(within.take(1))
+        if not some and not some_inner:
             break
-        marked, inside = _labelled_groups(lists, members, labels), _labelled(within, labels)
-        if turn == PIVOT_ROUNDS:
-            pairs, inner_pairs = _pairs_left(marked, percent), _pairs_left(inside, percent)
-        else:
-            pairs, lists = _pairs_with_pivot(marked, turn, percent)
-            inner_pairs, within = _pairs_with_pivot(inside, turn, percent)
-        new = _verified(_ordered_pairs(_expanded(pairs, members, percent).union(inner_pairs)), sets, percent)
+        pairs = []
+        if some:
+            marked = lists.join(written(_labels_of_groups(own, labels), "marks"), "g")
+            if turn == PIVOT_ROUNDS:
+                of_lists = _pairs_left(marked, percent)
+            else:
+                of_lists, lists = _pairs_with_pivot(marked, turn, percent)
+            pairs.append(_expanded(of_lists, own, percent))
+        if some_inner:
+            inside = _labelled(within, labels)
+            if turn == PIVOT_ROUNDS:
+                inner_pairs = _pairs_left(inside, percent)
+            else:
+                inner_pairs, within = _pairs_with_pivot(inside, turn, percent)
+            pairs.append(inner_pairs)
+        new = _verified(_ordered_pairs(reduce(DataFrame.union, pairs)), sets, percent, bits)
         if new.take(1):  # a label stands for all links found before
             labels = written(components(new.union(labels.select("node", "label"))), "labels")
         if turn == PIVOT_ROUNDS:
             break
-        lists = written(lists.drop("label"), "lists")
-        within = written(within.drop("label"), "inner")
+        if some:
+            lists = written(lists.drop("label"), "lists")
+        if some_inner:
+            within = written(within.drop("label"), "inner")
 
     classes_of = rows.filter("n > 0").groupBy("h").agg(F.min("id").alias("least"))
     linked = classes_of.join(labels.withColumnRenamed("node", "h"), "h")
@@ -394,10 +424,9 @@ def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return lists.join(labels.withColumnRenamed("node", "g"), "g", "left").withColumn("label", F.coalesce("label", "g"))
 
 
-def _labelled_groups(lists: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """List members with a label each; ``g`` is a group. Groups have equal labels only where all their classes are in one
+def _labels_of_groups(own: DataFrame, labels: DataFrame) -> DataFrame:
+    """(g, label) of the groups that the classes ``own`` are in. Groups have equal labels only where all their classes are in one
     component; a group of several components has a label of its own, so it is compared with every other."""
-    of = members.join(labels.withColumnRenamed("node", "h"), "h", "left").withColumn("label", F.coalesce("label", "h"))
-    of = of.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select(
+    of = own.select("g", "h").join(labels.withColumnRenamed("node", "h"), "h", "left").withColumn("label", F.coalesce("label", "h"))
+    return of.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select(
         "g", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.xxhash64("g", F.lit("mixed"))).alias("label"))
-    return lists.join(of, "g")

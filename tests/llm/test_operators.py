@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import attribution, decontaminate, jaccard, licenses, linededup, packing, pii, quality, template, urlrules
+from sluice.llm import attribution, common, decontaminate, jaccard, licenses, linededup, packing, pii, quality, template, urlrules
 from sluice.llm.common import ready
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, k string, label string"
@@ -82,6 +82,41 @@ def test_jaccard(docs, rows, long_list):
     assert sorted((repr(r[0]), r[1], repr(r[2])) for r in got) == want
 
 
+def test_jaccard_moves_only_what_long_lists_need(session, monkeypatch):
+    """One list of 12 similar texts, and 100 texts that only lists of two hold: the components of the long list's groups are looked up, once a turn."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(60)]
+    texts = [" ".join([*base, f"x{i}"]) for i in range(12)]
+    for _ in range(50):
+        own = [f"w{rng.randrange(10 ** 6)}" for _ in range(60)]
+        texts += [" ".join(own), " ".join([*own, "end"])]
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = collections.defaultdict(list)
+
+    def written(df, name, **options):
+        out = common.written(df, name, **options)
+        seen[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", written)
+    got = dict(jaccard.near_duplicates(docs, long_list=4).select("doc_id", "component_id").collect())
+    assert got == {i: 0 if i < 12 else i - i % 2 for i in range(112)}
+    assert 1 <= len(seen["marks"]) <= jaccard.PIVOT_ROUNDS + 1
+    assert 0 < max(seen["marks"]) <= 12
+
+
+def test_sketches_of_few_rows_are_small(session):
+    docs = session.createDataFrame([(i, f"a b c d e{i} f g") for i in range(40)], "doc_id long, text string").repartition(4)
+    chunks = jaccard.profile(docs, "doc_id", "text", 4).filter("chunk is not null").cache()
+    assert chunks.agg(F.max(F.length("counts"))).first()[0] < 2000  # 64 KiB of counters, nearly all zero
+    classes = jaccard.rarity_classes(chunks)
+    assert sorted(set(classes.tolist())) == [0, 2, 11] and (classes == 11).sum() == 1  # none, once, 40 times
+
+
+def test_bitmaps_grow_with_their_keys():
+    assert [jaccard.bitmap_bits(n) for n in (0, 1000, 38_495, 10 ** 9)] == [1 << 18, 1 << 18, 1 << 20, common.BITMAP_BITS]
+
+
 def deduped(rows, least=50):
     seen, out = {}, {}
     for doc_id, text in sorted({(r[0], r[1] or "") for r in rows}, key=lambda x: (x[0] is not None, x[0] or 0)):
