@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import mapped, written
 
 #: Words whose ids a Python worker remembers; beyond this it starts anew. Words encoded at once: their encodings take far more room than ids.
-CACHE_WORDS, WORDS_AT_ONCE = 150_000, 4096
+CACHE_WORDS, WORDS_AT_ONCE = 400_000, 4096
 #: Texts encoded at once, in bytes.
 PIECE_BYTES = 1 << 21
 #: This kind of tokenizer always cuts between a Latin letter and one of these, so a blank may be put there: words then recur

@@ -239,6 +239,18 @@ def test_words_encoded_together():
     assert [ids[bounds[i]:bounds[i + 1]].tolist() for i in range(len(want))] == want
 
 
+def test_encoder_keeps_the_words_of_many_texts(monkeypatch):
+    """Words that come again after 200,000 others are not encoded again."""
+    encoder, learned = packing.Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+    monkeypatch.setattr(encoder, "_learn", lambda words, learn=encoder._learn: (learned.append(len(words)), learn(words)))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    several = ["".join(w) for w in itertools.islice(itertools.product(letters, repeat=4), 200_000)]
+    texts = [pa.array([" ".join(several[i:i + 50_000])]) for i in range(0, 200_000, 50_000)]
+    first = [encoder.encode(t)[0].tolist() for t in texts]
+    assert [encoder.encode(t)[0].tolist() for t in texts] == first
+    assert sum(learned) == 200_000
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(3)
     for _ in range(20):
