@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import attribution, common, decontaminate, jaccard, licenses, linededup, packing, pii, quality, template, urlrules
+from sluice.llm import attribution, common, components, decontaminate, jaccard, licenses, linededup, packing, pii, quality, template, urlrules
 from sluice.llm.common import ready
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, k string, label string"
@@ -105,6 +105,27 @@ def test_jaccard_moves_only_what_long_lists_need(session, monkeypatch):
     assert 0 < max(seen["marks"]) <= 12
 
 
+@pytest.mark.parametrize("links", [[(i, i + 1) for i in range(40)], [(99, i) for i in range(40)], [(3, 3)], [],
+                                   [(7 * i % 101, 7 * (i + 1) % 101) for i in range(0, 100, 3)] + [(5, 80), (80, 5)]])
+def test_components(session, links):
+    least = {x: x for link in links if link[0] != link[1] for x in link}
+    for _ in links:
+        for a, b in links:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    got = components.components(session.createDataFrame(links, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted(least.items())
+
+
+def test_components_of_stars_need_no_round(session, monkeypatch):
+    """Links that lead to the smallest node already, in either direction, are not dealt out again."""
+    seen = []
+    monkeypatch.setattr(components, "written", lambda df, name: (seen.append(name), common.written(df, name))[1])
+    got = components.components(session.createDataFrame([(1, 2), (3, 1), (5, 4)], "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]
+    assert seen == ["links"]
+
+
 def test_sketches_of_few_rows_are_small(session):
     docs = session.createDataFrame([(i, f"a b c d e{i} f g") for i in range(40)], "doc_id long, text string").repartition(4)
     chunks = jaccard.profile(docs, "doc_id", "text", 4).filter("chunk is not null").cache()
