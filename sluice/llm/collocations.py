@@ -5,18 +5,19 @@ window of ``max_words - 1`` tokens is a multiple of ``EVERY``, and the next one
 passages have equal chunks, and every phrase lies within the chunk that its first word belongs to, the overlap belonging to
 the later chunk. So phrases are counted once per distinct chunk, with the chunk's frequency as weight.
 
-Phrases are counted by length. A phrase can only be frequent if both its parts without the last and without the first word are; those parts are looked
-up in a bitmap of their hashes, which lets through a superset. Counts by hash, again a superset, tell which phrases are worth
-counting by their text, and only those counts enter the result.
+Words are counted by their text and get codes that no two of them share, so phrases are counted exactly by the codes of their words, in one pass for each
+length, and only the frequent ones get their texts back, by joins with the words. A phrase can only be frequent if all its words and both its
+parts without the last and without the first word are; those parts are looked up in a bitmap, which lets through a superset.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -26,6 +27,10 @@ from .common import in_bitmap, key_bitmap, mapped, written
 EVERY, LONGEST = 64, 4096
 #: Partial counts that a task holds before it hands them on.
 HELD_KEYS, HELD_TEXTS = 4_000_000, 1_000_000
+#: Up to so many frequent words, codes are places in the list of their keys (64 MiB at most); beyond, a word's code is its key, which takes more room.
+LISTED_WORDS = 1 << 23
+#: Bits of a word's hash that make its key. Words that share one get other keys.
+KEY_BITS = 64
 #: Parts into which the phrases of a language are dealt for the first ranking.
 RANK_PARTS = 64
 
@@ -35,6 +40,7 @@ _WORD = ~_BORDER
 _WORD[[0x20, 0x09]] = False
 #: In a chunk, tokens are joined by a space, but by a tab before the overlap, and a border is a line break.
 _SPACE, _TAB, _LINE = 0x20, 0x09, 0x0A
+_FOLD_LOW, _FOLD_STEP = (1 << 31) - 1, 0x9E3779B1  # products stay below 2^63
 _LINE_HASH, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 _IN_CHUNK = ~np.isin(np.arange(256), [_SPACE, _TAB, _LINE])
 
@@ -126,7 +132,7 @@ class _Chunks:
         self.counts = counts[self.text]
         langs = langs.dictionary_encode()
         self.langs, self.lang = langs.dictionary, langs.indices.to_numpy(zero_copy_only=False)[self.text]
-        self.lang_keys = np.array([_lang_key(x) for x in self.langs.to_pylist()], dtype=np.uint64)
+        self.lang_keys = np.array([_text_key(x) for x in self.langs.to_pylist()], dtype=np.uint64)
 
     def whole(self, k: int) -> np.ndarray:
         """Words from which ``k`` words follow each other without a border."""
@@ -136,30 +142,23 @@ class _Chunks:
             out[a] = (self.text[a] == self.text[b]) & (self.lines[a] == self.lines[b])
         return out
 
-    def keys(self, k: int) -> np.ndarray:
-        """Hash of language and ``k`` words from each word on; the caller knows which are whole."""
-        out = np.zeros(len(self.text), dtype=np.uint64)
-        if len(out) >= k:
-            n = len(out) - k + 1
-            out[:n] = W.mix(self.words.shingles(k) ^ self.lang_keys[self.lang[:n]])
-        return out
-
-    def within(self, k: int, bitmap: np.ndarray) -> np.ndarray:
-        """Words that begin ``k`` words without a border whose hash is in the bitmap."""
-        out = self.whole(k)
-        at = np.flatnonzero(out)
-        out[at] = in_bitmap(bitmap, self.keys(k)[at])
+    def keys(self, bits: int, clashes: list[np.ndarray]) -> np.ndarray:
+        """Hash of language and word for every word, and for those in the first list of ``clashes`` another one, and so on."""
+        out = W.mix(self.words.shingles(1) ^ self.lang_keys[self.lang]) >> np.uint64(64 - bits)
+        for salt, shared in enumerate(clashes):
+            at = np.flatnonzero(np.isin(out, shared))
+            for i, word in zip(at, self.texts(at).to_pylist()):
+                out[i] = _text_key(f"{salt} {word} {self.langs[self.lang[i]].as_py()}")
         return out
 
-    def texts(self, at: np.ndarray, k: int) -> pa.Array:
-        """The ``k`` words from each of the words ``at`` on."""
-        data = np.where(self.words.raw == _TAB, np.uint8(_SPACE), self.words.raw)
-        lengths = self.words.ends[at + k - 1] - self.words.starts[at]
-        return _strings(data[_ragged(self.words.starts[at], lengths)], lengths).cast(pa.string())
+    def texts(self, at: np.ndarray) -> pa.Array:
+        """The words ``at``."""
+        lengths = self.words.ends[at] - self.words.starts[at]
+        return _strings(self.words.raw[_ragged(self.words.starts[at], lengths)], lengths).cast(pa.string())
 
 
-def _lang_key(lang: str) -> np.uint64:
-    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
+def _text_key(text: str) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little"))
 
 
 def _each(batches):
@@ -196,42 +195,42 @@ def _texts_tallied(tables, by: list[str]):
         yield from _in_order(_summed(held, by))
 
 
-def _keys_tallied(pairs):
-    """The same for (keys, counts)."""
+def _keys_tallied(tallies, names: list[str]):
+    """The same for arrays, of which the last are counts and the others together a key."""
 
     def summed():
-        keys, counts = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        return keys[first], np.add.reduceat(counts, first)
+        *keys, counts = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+        keys, counts = [x[order] for x in keys], counts[order]
+        first = np.flatnonzero(np.append(True, np.any([x[1:] != x[:-1] for x in keys], axis=0)))
+        return [*(x[first] for x in keys), np.add.reduceat(counts, first)]
 
-    def rows(keys, counts):
-        for i in range(0, len(keys), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000].view(np.int64)), pa.array(counts[i:i + 100_000])], ["key", "n"])
+    def rows(columns):
+        for i in range(0, len(columns[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000]) for x in columns], names)
 
     held, n = [], 0
-    for keys, counts in pairs:
-        if not len(keys):
+    for columns in tallies:
+        if not len(columns[0]):
             continue
-        held.append((keys, counts))
-        n += len(keys)
+        held.append(columns)
+        n += len(columns[0])
         if n > HELD_KEYS:
             held = [summed()]
             n = len(held[0][0])
             if n > HELD_KEYS // 2:
-                yield from rows(*held[0])
+                yield from rows(held[0])
                 held, n = [], 0
     if held:
-        yield from rows(*summed())
+        yield from rows(summed())
 
 
-def word_counts(chunks: DataFrame) -> DataFrame:
+def word_counts(chunks: DataFrame, bits: int = 64, clashes: list[np.ndarray] = ()) -> DataFrame:
     """(lang, phrase, key, n) of every word of every language."""
 
     def one(c: _Chunks) -> pa.Table:
         at = np.flatnonzero(c.owned)
-        return pa.table({"lang": c.langs.take(pa.array(c.lang[at])), "phrase": c.texts(at, 1), "key": c.keys(1)[at].view(np.int64), "n": c.counts[at]})
+        return pa.table({"lang": c.langs.take(pa.array(c.lang[at])), "phrase": c.texts(at), "key": c.keys(bits, clashes)[at].view(np.int64), "n": c.counts[at]})
 
     def run(batches):
         yield from _texts_tallied((one(c) for c in _each(batches)), ["lang", "phrase", "key"])
@@ -240,39 +239,101 @@ def word_counts(chunks: DataFrame) -> DataFrame:
             .groupBy("lang", "phrase", "key").agg(F.sum("n").alias("n")))
 
 
-def hash_counts(chunks: DataFrame, k: int, parts: np.ndarray, width: int = 64) -> DataFrame:
-    """(key, n) of the phrases of ``k`` words whose parts of ``k - 1`` words are in the bitmap ``parts``, by the low ``width`` bits of
-    their hash. Fewer bits take less room; phrases that share them only raise each other's counts."""
-    shared = chunks.sparkSession.sparkContext.broadcast(parts)
-    low = np.uint64((1 << width) - 1)
+def keyed_words(chunks: DataFrame, bits: int) -> tuple[DataFrame, list[np.ndarray]]:
+    """``word_counts`` with a key of its own for every word, and the keys that words would share without another hash."""
+    clashes: list[np.ndarray] = []
+    while True:
+        words = written(word_counts(chunks, bits, clashes), "words", compression="zstd")
+        shared = words.groupBy("key").count().filter("count > 1").select("key").toArrow()
+        if not shared.num_rows:
+            return words, clashes
+        clashes = [*clashes, shared["key"].to_numpy().view(np.uint64)]
+
+
+class _Codes:
+    """Codes of the frequent words, and how those of a phrase are packed into columns of 64 bits."""
+
+    def __init__(self, bits: int, clashes: list[np.ndarray], listed: np.ndarray | None, bitmap: np.ndarray | None):
+        self.bits, self.clashes, self.listed, self.bitmap = bits, clashes, listed, bitmap
+        self.width = 64 if listed is None else max(1, len(listed).bit_length())
+        self.in_one = max(1, 63 // self.width)
+
+    def of_keys(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(code, may it be frequent) of words with these keys."""
+        if self.listed is None:
+            return keys.view(np.int64), in_bitmap(self.bitmap, keys)
+        if not len(self.listed):
+            return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+        at = np.minimum(np.searchsorted(self.listed, keys), len(self.listed) - 1)
+        return at, self.listed[at] == keys
+
+    def names(self, k: int) -> list[str]:
+        return [f"key{i}" for i in range(-(-k // self.in_one))]
+
+    def packed(self, codes: list[np.ndarray]) -> list[np.ndarray]:
+        out = []
+        for i in range(0, len(codes), self.in_one):
+            out.append(codes[i])
+            for x in codes[i + 1:i + self.in_one]:
+                out[-1] = (out[-1] << self.width) | x
+        return out
 
-    def one(c: _Chunks):
-        inner = c.within(k - 1, shared.value)
-        mask = c.whole(k) & c.owned & inner
-        mask[:-1] &= inner[1:]
-        return c.keys(k)[mask] & low, c.counts[mask]
+    def unpacked(self, k: int) -> list[Column]:
+        """The codes of ``k`` words from the columns that ``names`` tells."""
+        if self.in_one == 1:
+            return [F.col(x) for x in self.names(k)]
+        return [F.shiftright(F.col(f"key{i // self.in_one}"), self.width * (min(k - i // self.in_one * self.in_one, self.in_one) - 1 - i % self.in_one))
+                .bitwiseAND(F.lit((1 << self.width) - 1)) for i in range(k)]
 
-    def run(batches):
-        yield from _keys_tallied(one(c) for c in _each(batches))
 
-    return chunks.select("lang", "chunk", "c").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def _coded(words: DataFrame, codes: _Codes) -> DataFrame:
+    """(lang, phrase, code) of frequent words."""
+    shared = words.sparkSession.sparkContext.broadcast(codes)
+
+    def run(batch):
+        code, _ = shared.value.of_keys(batch.column(2).to_numpy().view(np.uint64))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code)], ["lang", "phrase", "code"])
+
+    return mapped(words.select("lang", "phrase", "key"), run, "lang string, phrase string, code long")
 
 
-def phrase_counts(chunks: DataFrame, bitmaps: dict[int, np.ndarray]) -> DataFrame:
-    """(lang, phrase, n) of the phrases whose hash is in the bitmap of their number of words."""
-    shared = chunks.sparkSession.sparkContext.broadcast(bitmaps)
+def _folded(codes, low, step):
+    """One number from several codes, of numpy arrays or columns alike: phrases that share it only pass the same bitmap."""
+    out = codes[0]
+    for x in codes[1:]:
+        out = low(out) * step + low(x)
+    return out
 
-    def some(c: _Chunks):
-        for k, bitmap in shared.value.items():
-            at = np.flatnonzero(c.within(k, bitmap) & c.owned)
-            if len(at):
-                yield pa.table({"lang": c.langs.take(pa.array(c.lang[at])), "phrase": c.texts(at, k), "n": c.counts[at]})
+
+def phrase_counts(chunks: DataFrame, k: int, codes: _Codes, parts: np.ndarray | None) -> DataFrame:
+    """(codes of the words, n) of the phrases of ``k`` words that have frequent words, and parts of ``k - 1`` words in the bitmap ``parts``."""
+    shared, names = chunks.sparkSession.sparkContext.broadcast((codes, parts)), codes.names(k)
+
+    def one(c: _Chunks):
+        codes, parts = shared.value
+        code, frequent = codes.of_keys(c.keys(codes.bits, codes.clashes))
+        mask = c.whole(k) & c.owned
+        at = np.flatnonzero(mask)
+        for j in range(k):
+            at = at[frequent[at + j]]
+        if parts is not None:
+            for j in range(2):
+                part = _folded([code[at + j + i] for i in range(k - 1)], lambda x: x & _FOLD_LOW, _FOLD_STEP)
+                at = at[in_bitmap(parts, part.view(np.uint64))]
+        return [*codes.packed([code[at + j] for j in range(k)]), c.counts[at]]
 
     def run(batches):
-        yield from _texts_tallied((t for c in _each(batches) for t in some(c)), ["lang", "phrase"])
+        yield from _keys_tallied((one(c) for c in _each(batches)), [*names, "n"])
+
+    counted = chunks.select("lang", "chunk", "c").mapInArrow(run, ", ".join(f"{x} long" for x in [*names, "n"])).groupBy(*names).agg(F.sum("n").alias("n"))
+    return counted.select(*[x.alias(f"code{i}") for i, x in enumerate(codes.unpacked(k))], "n")
+
 
-    return (chunks.select("lang", "chunk", "c").mapInArrow(run, "lang string, phrase string, n long")
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
+def with_texts(phrases: DataFrame, k: int, words: DataFrame) -> DataFrame:
+    """(lang, phrase, n, words) of phrases of ``k`` words, given (lang, phrase, code) of the words."""
+    for i in range(k):
+        phrases = phrases.join(words.select(F.col("code").alias(f"code{i}"), F.col("phrase").alias(f"word{i}"), *(["lang"] if i == 0 else [])), f"code{i}")
+    return phrases.select("lang", F.concat_ws(" ", *[f"word{i}" for i in range(k)]).alias("phrase"), "n", F.lit(k).alias("words"))
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_words: int = 3, least: int = 10, share: int = 50,
@@ -289,18 +350,22 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     if max_words < 2 or least < 1:
         raise ValueError("phrases have two words or more, and candidates one occurrence or more")
     chunks = written(parse(docs, lang_col, text_col, max_words), "chunks", compression="zstd")
-    words = written(word_counts(chunks), "words", compression="zstd")
+    words, clashes = keyed_words(chunks, KEY_BITS)
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    total, n_frequent = words.agg(F.sum("n"), F.count_if(F.col("n") >= least)).first()
     # bitmaps of at most 64 MiB, sized by the largest number of phrases that can be frequent
-    total = words.agg(F.sum("n")).first()[0] or 0
-    bits = 1 << min(29, max(20, (4 * total // least).bit_length()))
-    width = min(64, max(32, total.bit_length() + 4))  # of hashes that are counted: most phrases have their own
-    known = key_bitmap(words.filter(F.col("n") >= least), "key", bits)
-    bitmaps = {}
+    bits = 1 << min(29, max(20, (4 * (total or 0) // least).bit_length()))
+    frequent = words.filter(F.col("n") >= least)
+    listed = np.sort(frequent.select("key").toArrow()["key"].to_numpy().view(np.uint64)) if n_frequent <= LISTED_WORDS else None
+    codes = _Codes(KEY_BITS, clashes, listed, key_bitmap(frequent, "key", bits) if listed is None else None)
+    coded = written(_coded(frequent, codes), "codes", compression="zstd")
+    found, parts = [], None
     for k in range(2, max_words + 1):
-        known = bitmaps[k] = key_bitmap(hash_counts(chunks, k, known, width).filter(F.col("n") >= least), "key", bits)
-    found = phrase_counts(chunks, bitmaps).filter(F.col("n") >= least)
-    found = written(found.withColumn("words", F.size(F.split("phrase", " "))), "phrases")
+        phrases = written(phrase_counts(chunks, k, codes, parts).filter(F.col("n") >= least), f"phrases{k}", compression="zstd")
+        found.append(with_texts(phrases, k, coded))
+        if k < max_words:
+            parts = key_bitmap(phrases, _folded([F.col(f"code{i}") for i in range(k)], lambda x: x.bitwiseAND(F.lit(_FOLD_LOW)), F.lit(_FOLD_STEP)), bits)
+    found = written(reduce(DataFrame.union, found), "phrases")
 
     counts = words.filter(F.col("n") >= least).select("lang", "phrase", "n").union(found.select("lang", "phrase", "n"))
     part_of, k = F.split("phrase", " "), F.col("k")

@@ -167,6 +167,40 @@ def test_collocations(session, monkeypatch, max_words, every, longest):
     assert sorted(map(tuple, got.collect())) == plain_collocations([(r["lang"], r["text"]) for r in docs.collect()], max_words, 3, 50, 40)
 
 
+@pytest.mark.parametrize("max_words, listed", [(3, 1 << 23), (4, 0)])
+def test_words_that_share_a_hash_stay_apart(session, monkeypatch, max_words, listed):
+    rng = random.Random(max_words)
+    texts = [" ".join(rng.choice(["The", "the", "é", *(f"w{i}" for i in range(60))]) for _ in range(rng.randrange(99))) + rng.choice([" one two three.", ""])
+             for _ in range(90)]
+    docs = frame(session, texts)
+    monkeypatch.setattr(collocations, "KEY_BITS", 5)
+    monkeypatch.setattr(collocations, "LISTED_WORDS", listed)
+    got = collocations.collocations(docs, max_words=max_words, least=3, share=50, top=40)
+    assert sorted(map(tuple, got.collect())) == plain_collocations([(r["lang"], r["text"]) for r in docs.collect()], max_words, 3, 50, 40)
+
+
+def test_a_task_hands_on_each_phrase_once(session, monkeypatch):
+    rng = random.Random(9)
+    docs = session.createDataFrame([("en", " ".join(rng.choice("abcdef") for _ in range(100))) for _ in range(400)], "lang string, text string").repartition(3)
+    passes, plain = [], type(docs).mapInArrow
+
+    def counting(df, fn, schema):
+        rows = session.sparkContext.accumulator(0)
+        passes.append((schema, df.rdd.getNumPartitions(), rows))
+
+        def run(batches):
+            for batch in fn(batches):
+                rows.add(batch.num_rows)
+                yield batch
+
+        return plain(df, run, schema)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", counting)
+    assert collocations.collocations(docs).count() > 0
+    sums = [(tasks, rows.value) for schema, tasks, rows in passes if schema.endswith("n long") and "phrase string, key" not in schema]
+    assert 0 < sum(n for _, n in sums) <= max(tasks for tasks, _ in sums) * (6 ** 2 + 6 ** 3)
+
+
 def test_chunks_are_counted_once(session):
     text = " ".join(f"w{i % 97} x{i % 89}" for i in range(3000))
     one, many = (collocations.parse(session.createDataFrame([(text, "en")] * k, "text string, lang string"), "lang", "text", 3).collect() for k in (1, 9))
