@@ -107,10 +107,10 @@ SELECT event_type AS station, ts AS time, round(value - 5 + 1e-9, 6) AS value, r
 def st7_stream_join(spark, sf):
     """ST7: readings joined with all weather rows of their station and hour, both as streams.
 
-    The values are rounded before the join, once a row and not once a pair."""
+    Values are rounded and times made naive once a row and not once a pair."""
     weather = events_stream(spark, sf).select(
         F.col("event_type").alias("station"), F.col("ts").cast("timestamp").alias("time"), F.col("value").alias("rain"))
-    return naive(jobs.laid_out(jobs.drain(jobs.river_with_weather(tidy(readings(spark, sf)), tidy(weather)), "join")))
+    return jobs.laid_out(jobs.drain(jobs.river_with_weather(tidy(readings(spark, sf)), tidy(weather)), "join"), naive=True)
 
 
 @query("st7_stream_hourly_join", f"""WITH w AS (SELECT event_type AS station, time_bucket(INTERVAL '1 hour', ts) AS h, avg(value) AS rain, count(*) AS n_rain FROM events GROUP BY 1, 2)

@@ -164,11 +164,32 @@ def river_with_weather(river: DataFrame, weather: DataFrame, lateness: str = "1
         "station", "time", "value", "rain")
 
 
-def laid_out(packs: DataFrame) -> DataFrame:
-    """The pairs (station, time, value, rain) in the joined packs of ``river_with_weather``."""
-    reading = F.explode(F.arrays_zip("time", "value")).alias("_r")
-    return packs.select("station", reading, "rain").select(
-        "station", F.timestamp_micros("_r.time").alias("time"), F.col("_r.value").alias("value"), F.explode("rain").alias("rain"))
+#: Pairs in a slice of joined packs at most, unless one reading alone has more.
+PAIRS = 16_384
+
+
+def sliced(packs: DataFrame, pairs: int = PAIRS) -> DataFrame:
+    """Joined packs cut along their readings into slices of at most ``pairs`` pairs, or of one reading."""
+    size = F.greatest(F.lit(1), F.floor(F.lit(pairs) / F.size("rain"))).cast("int")
+    cut = packs.withColumn("_n", size).withColumn("_at", F.explode(F.sequence(F.lit(1), F.size("time"), F.col("_n"))))
+    return cut.select("station", *[F.slice(c, F.col("_at"), F.col("_n")).alias(c) for c in ("time", "value")], "rain")
+
+
+def laid_out(packs: DataFrame, naive: bool = False) -> DataFrame:
+    """The pairs (station, time, value, rain) in the joined packs of ``river_with_weather``; ``naive`` gives times as naive
+    UTC, turned once a reading and not once a pair.
+
+    Packs are few and make very many pairs, so they are dealt evenly to the tasks first. Rows that stem from one row within a
+    stage's generated code are all held before the first is handed on; ``coalesce``, which moves nothing, ends that code
+    between the slices and their pairs, so a task holds the pairs of a slice and not those of a whole pack.
+    """
+    sc = packs.sparkSession.sparkContext
+    n = max(int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * sc.defaultParallelism)
+    slices = sliced(packs.repartition(n)).coalesce(n)
+    at = F.timestamp_micros("_r.time")
+    readings = slices.select("station", F.explode(F.arrays_zip("time", "value")).alias("_r"), "rain").select(
+        "station", (at.cast("timestamp_ntz") if naive else at).alias("time"), F.col("_r.value").alias("value"), "rain")
+    return readings.select("station", "time", "value", F.explode("rain").alias("rain"))
 
 
 def river_with_hourly_weather(river: DataFrame, weather: DataFrame, lateness: str = "1 hour") -> DataFrame:

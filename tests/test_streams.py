@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.streaming import jobs
 
@@ -112,6 +113,43 @@ def test_a_crowded_hour_is_joined_in_packs(spark, tmp_path):
     assert sorted(rows, key=repr) == sorted(want, key=repr)
 
 
+def rows_made(plan):
+    """Rows that each explode of an executed plan made."""
+    while (name := plan.nodeName()).startswith("AdaptiveSparkPlan") or name.endswith("QueryStage"):
+        plan = plan.executedPlan() if name.startswith("Adaptive") else plan.plan()
+    below = plan.children()
+    own = [plan.metrics().apply("numOutputRows").value()] if name == "Generate" else []
+    return own + [n for i in range(below.size()) for n in rows_made(below.apply(i))]
+
+
+def test_a_pack_is_laid_out_slice_by_slice(spark, tmp_path):
+    """The first pair of 1000 x 1000 is there before the others are made, whose number no task has to hold."""
+    numbers = lambda n, null: f"transform(sequence(1, {n}), i -> if(i = {null}, null, double(i)))"
+    spark.range(1).selectExpr("'a' as station", "transform(sequence(1, 1000), i -> i * 1000000L) as time", f"{numbers(1000, 7)} as value",
+                              f"{numbers(1000, 3)} as rain").write.parquet(str(tmp_path / "packs"))
+    packs = spark.read.parquet(str(tmp_path / "packs"))
+    first = jobs.laid_out(packs).limit(1)
+    assert len(first.collect()) == 1
+    made = rows_made(first._jdf.queryExecution().executedPlan())
+    assert made and max(made) <= jobs.PAIRS, made
+    pairs = jobs.laid_out(packs, naive=True)
+    assert dict(pairs.dtypes) == {"station": "string", "time": "timestamp_ntz", "value": "double", "rain": "double"}
+    got = pairs.agg(F.count(F.lit(1)), F.count_distinct("time", F.coalesce("rain", F.lit(3.0))), F.sum("value"), F.sum("rain"),
+                    F.count_if(F.col("value") != F.unix_seconds(F.col("time").cast("timestamp")))).first()
+    assert tuple(got) == (10**6, 10**6, 1000.0 * (500500 - 7), 1000.0 * (500500 - 3), 0)
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 40, 1000])
+def test_slices_hold_every_pair_once(spark, pairs):
+    packs = spark.createDataFrame([("a", list(range(13)), [float(i) for i in range(13)], [0.5, None, 0.5]), ("b", [1], [None], [None]),
+                                   ("c", [1, 1], [2.0, None], [float(i) for i in range(9)])],
+                                  "station string, time array<bigint>, value array<double>, rain array<double>")
+    rows = jobs.sliced(packs, pairs).collect()
+    assert all(len(r["time"]) == len(r["value"]) and (len(r["time"]) == 1 or len(r["time"]) * len(r["rain"]) <= pairs) for r in rows)
+    laid = lambda rs: sorted(((r["station"], t, v, w) for r in rs for t, v in zip(r["time"], r["value"]) for w in r["rain"]), key=repr)
+    assert laid(rows) == laid(packs.collect())
+
+
 def test_packs_are_cut_at_their_size(spark):
     rows = spark.range(25).selectExpr("if(id = 24, null, if(id < 10, 'a', 'b')) as station", "timestamp'2024-01-01 00:00:00' as hour",
                                       "if(id % 5 = 0, null, double(id)) as value").coalesce(1)
